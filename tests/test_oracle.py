@@ -45,7 +45,8 @@ def test_query_equals_sql(spark, duck, name):
     theirs = duck.execute(entry_module.oracle_sql()[name])
     want = _rows([d[0] for d in theirs.description], theirs.fetchall())
     assert got[0] == want[0]
-    assert len(got[1]) == len(want[1]) and len(got[1]) > 0
+    assert len(got[1]) == len(want[1])
+    assert got[1] or SF.endswith("sf0.001")  # only the smallest tables may leave a read empty
     assert got[1] == want[1]
 
 

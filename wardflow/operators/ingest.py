@@ -19,14 +19,11 @@ def decode_vitals(envelopes: DataFrame, *, keep: Sequence[str] = (), raw_as: str
     message text, for the quarantine.
     """
     text = F.col("value").cast("string")
-    carried = [F.col(k) for k in keep]
-    if raw_as:
-        carried.append(text.alias(raw_as))
-    return (
-        envelopes.select(F.from_json(text, MESSAGE).alias("data"), *carried)
-        .select("data.*", *keep, *([raw_as] if raw_as else []))
-        .withColumn("timestamp", col.event_time(F.col("timestamp")))
-    )
+    rejects = [text.alias(raw_as)] if raw_as else []
+    # inline rather than data.*: filters on decoded columns stay above a generator, whereas pushed
+    # below a projection each of them would parse the message again.
+    parsed = F.inline(F.array(F.from_json(text, MESSAGE)))
+    return envelopes.select(*keep, *rejects, parsed).withColumn("timestamp", col.event_time(F.col("timestamp")))
 
 
 def has_key() -> Column:

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.functions import columns as col, constants as c
+from wardflow.functions import columns as col
+from wardflow.operators import alerts as al
 from wardflow.session import use_utc
 
 AS_OF = "2024-01-02 12:00:00"
@@ -16,40 +17,24 @@ BASE_SECONDS = 1704067200  # 2024-01-01 00:00:00 UTC
 SQUEEZE = 20  # thirty days of events become 36 hours
 RESENT_OFFSET = 10_000_000
 
-# How event_id % 6 picks the metric, and value as an affine function of k.
-SHAPES = (
-    ("heart_rate", 60.0, 40.0, "bpm"),
-    ("bp_systolic", 110.0, 20.0, "mmHg"),
-    ("bp_diastolic", 70.0, 15.0, "mmHg"),
-    ("spo2", 100.0, -5.0, "%"),
-    ("temperature", 36.5, 1.5, "C"),
-    ("respiratory_rate", 12.0, 6.0, "bpm"),
+# The six metrics take turns; each value is an affine function of k = value / 100 - 0.1.
+VITALS_COLUMNS = (
+    "event_id",
+    "concat('P-', lpad(cast(user_id AS string), 6, '0')) AS patient_id",
+    f"""timestamp_seconds({BASE_SECONDS} + cast(floor(
+          (unix_timestamp(cast(ts AS timestamp)) - {BASE_SECONDS}) / {SQUEEZE}) AS bigint)) AS timestamp""",
+    """CASE event_id % 6 WHEN 0 THEN 'heart_rate' WHEN 1 THEN 'bp_systolic' WHEN 2 THEN 'bp_diastolic'
+         WHEN 3 THEN 'spo2' WHEN 4 THEN 'temperature' ELSE 'respiratory_rate' END AS metric_name""",
+    """CASE event_id % 6 WHEN 0 THEN 60.0D + 40.0D * k WHEN 1 THEN 110.0D + 20.0D * k
+         WHEN 2 THEN 70.0D + 15.0D * k WHEN 3 THEN 100.0D - 5.0D * k
+         WHEN 4 THEN 36.5D + 1.5D * k ELSE 12.0D + 6.0D * k END AS value""",
+    """CASE event_id % 6 WHEN 1 THEN 'mmHg' WHEN 2 THEN 'mmHg' WHEN 3 THEN '%' WHEN 4 THEN 'C'
+         ELSE 'bpm' END AS unit""",
 )
 
 
-def _by_slot(slot, values):
-    case = F
-    for i, value in enumerate(values[:-1]):
-        case = case.when(slot == i, value)
-    return case.otherwise(values[-1])
-
-
-def patient_name(number):
-    return F.concat(F.lit("P-"), F.lpad(number.cast("string"), 6, "0"))
-
-
 def vitals_of(events: DataFrame) -> DataFrame:
-    slot = F.col("event_id") % 6
-    k = F.col("value") / 100.0 - 0.1
-    seconds = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - BASE_SECONDS) / SQUEEZE)
-    return events.select(
-        "event_id",
-        patient_name(F.col("user_id")).alias("patient_id"),
-        F.timestamp_seconds(F.lit(BASE_SECONDS) + seconds).alias("timestamp"),
-        _by_slot(slot, [F.lit(name) for name, *_ in SHAPES]).alias("metric_name"),
-        _by_slot(slot, [F.lit(base) + F.lit(step) * k for _, base, step, _ in SHAPES]).alias("value"),
-        _by_slot(slot, [F.lit(unit) for *_, unit in SHAPES]).alias("unit"),
-    )
+    return events.selectExpr("*", "value / 100.0D - 0.1D AS k").selectExpr(*VITALS_COLUMNS)
 
 
 def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,48 +51,24 @@ def vitals_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts in the state some time later: four kinds of status, as acknowledging them would leave."""
-    kind = col.alert_type(F.col("metric_name"), F.col("value"))
-    turn = F.floor(F.col("event_id") / 6) % 10
-    status = F.when(turn == 0, "RESOLVED").when(turn == 1, "active").when(turn != 2, c.ACTIVE)
-    return (
-        vitals(spark, sf_dir)
-        .withColumn("alert_type", kind)
-        .filter(F.col("alert_type").isNotNull())
-        .select(
-            col.alert_id(
-                F.col("patient_id"), F.col("metric_name"), F.col("timestamp"), F.col("alert_type")
-            ).alias("alert_id"),
-            "patient_id",
-            "metric_name",
-            F.col("value").alias("observed_value"),
-            "alert_type",
-            "timestamp",
-            status.alias("status"),
-            F.to_date("timestamp").alias("day"),
-        )
-    )
+    status = """CASE (event_id div 6) % 10 WHEN 0 THEN 'RESOLVED' WHEN 1 THEN 'active' WHEN 2 THEN NULL
+                ELSE 'ACTIVE' END"""
+    found = al.classify_alerts(vitals(spark, sf_dir)).withColumn("status", F.expr(status))
+    return al.alerts_by_patient(found)
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("c_custkey")
-    step = number % 11
-    return (
-        use_utc(spark)
-        .read.parquet(f"{sf_dir}/customer.parquet")
-        .filter(number != 0)
-        .select(
-            patient_name(number).alias("patient_id"),
-            F.col("c_name").alias("name"),
-            F.struct(
-                F.concat(F.lit("c"), number.cast("string"), F.lit("@example.com")).alias("email"),
-                F.lpad(number.cast("string"), 10, "0").alias("phone"),
-            ).alias("contact_info"),
-            F.concat(F.lit("segment "), F.col("c_mktsegment")).alias("medical_notes"),
-            F.when(step != 10, step / 10.0).alias("risk_score"),
-            col.instant("2024-01-01 00:00:00").alias("last_updated"),
-            F.lit(None).cast("timestamp").alias("risk_score_updated_at"),
-            F.lit(None).cast("string").alias("risk_score_source"),
-        )
+    customers = use_utc(spark).read.parquet(f"{sf_dir}/customer.parquet").filter("c_custkey <> 0")
+    return customers.selectExpr(
+        "concat('P-', lpad(cast(c_custkey AS string), 6, '0')) AS patient_id",
+        "c_name AS name",
+        """named_struct('email', concat('c', cast(c_custkey AS string), '@example.com'),
+                        'phone', lpad(cast(c_custkey AS string), 10, '0')) AS contact_info""",
+        "concat('segment ', c_mktsegment) AS medical_notes",
+        "CASE WHEN c_custkey % 11 <> 10 THEN (c_custkey % 11) / 10.0D END AS risk_score",
+        "timestamp_ltz'2024-01-01 00:00:00' AS last_updated",
+        "cast(NULL AS timestamp) AS risk_score_updated_at",
+        "cast(NULL AS string) AS risk_score_source",
     )
 
 

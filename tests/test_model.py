@@ -1,0 +1,75 @@
+"""The risk model against its definition: optimum of the penalised loss, exact AUC, ordering."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wardflow.operators import features as ft, model as ml
+from wardflow.plans.risk_model import fit_risk_model
+from workload import fixtures as fx
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    return fit_risk_model(fx.vitals(spark, SF), fx.profiles(spark, SF), fx.AS_OF)
+
+
+def matrix(df):
+    rows = df.select(*ml.FEATURES, ft.LABEL).collect()
+    table = np.array([tuple(r) for r in rows], dtype=float)
+    return table[:, :-1], table[:, -1]
+
+
+def test_weights_are_the_optimum_of_summed_loss_plus_half_their_square(fitted):
+    x, y = matrix(fitted.train)
+    w, b = np.array(fitted.model.coefficients), fitted.model.intercept
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    scale = np.abs(x).sum(axis=0)
+    assert np.all(np.abs(x.T @ (p - y) + w) / scale < 1e-4)
+    assert abs((p - y).sum()) < 1e-2
+
+
+def test_ranking(fitted):
+    rows = fitted.ranking().collect()
+    assert len(rows) == fitted.labelled.count()
+    assert rows == sorted(rows, key=lambda r: (-r.predicted_risk, r.patient_id))
+    assert ml.top_risk(fitted.ranking(), 10).collect() == rows[:10]
+    assert all(0.0 <= r.predicted_risk <= 1.0 for r in rows)
+    assert fitted.ranking().columns == ["patient_id", "predicted_risk", "actual_high_risk"]
+
+
+def test_metrics_equal_their_definitions(fitted):
+    row = fitted.metrics().first()
+    scored = ml.score_patients(fitted.model, fitted.test).collect()
+    ones = [r.predicted_risk for r in scored if r.high_risk == 1]
+    zeros = [r.predicted_risk for r in scored if r.high_risk == 0]
+    wins = sum((a > b) + 0.5 * (a == b) for a in ones for b in zeros)
+    assert row.auc == pytest.approx(wins / (len(ones) * len(zeros)))
+    assert row.test_accuracy == pytest.approx(np.mean([(r.predicted_risk > 0.5) == r.high_risk for r in scored]))
+    assert 0.5 < row.train_accuracy <= 1.0
+
+
+def test_one_class_has_no_auc(fitted):
+    ones = fitted.test.filter(F.col(ft.LABEL) == 1)
+    row = ml.model_metrics(fitted.model, fitted.train, ones).first()
+    assert row.auc is None and row.test_accuracy is not None
+
+
+def test_roc_runs_from_corner_to_corner(fitted):
+    points = [tuple(r) for r in fitted.roc().collect()]
+    assert points[0] == (0.0, 0.0) and points[-1] == (1.0, 1.0)
+    assert points == sorted(points)
+
+
+def test_coefficients_ascend(fitted):
+    rows = fitted.coefficients().collect()
+    assert {r.feature for r in rows} == set(ml.FEATURES)
+    assert [r.coefficient for r in rows] == sorted(r.coefficient for r in rows)
+    assert rows[-1].feature == "heart_rate"
+
+
+def test_training_needs_rows(spark, fitted):
+    with pytest.raises(ValueError):
+        ml.train_risk_model(fitted.train.limit(0))

@@ -1,6 +1,7 @@
 """The ingest stream: restart, replay, deduplication, quarantine, and equality with the batch operators."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -32,7 +33,9 @@ class Feed:
 
     def send(self, *messages):
         self.n += 1
-        (self.path / f"{self.n:03d}.txt").write_text("\n".join(messages) + "\n")
+        file = self.path / f"{self.n:03d}.txt"
+        file.write_text("\n".join(messages) + "\n")
+        os.utime(file, (1704200000 + self.n, 1704200000 + self.n))  # files are read in order of their age
 
     def stream(self, **options):
         return read_vitals_stream(self.spark, "text", options, path=str(self.path), schema="value string")

@@ -60,15 +60,12 @@ def exact_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFram
     bracket = values.agg(
         F.percentile_approx("x", [0.5 - margin, 0.5 + margin], accuracy).alias("q"), F.count("*").alias("n")
     ).select(F.struct("q", "n").alias("bracket"))
-    found = bracket.scalar()
-    low, high, n = found["q"][0], found["q"][1], found["n"]
-    counted = (
-        values.filter(F.col("x") <= high)
-        .groupBy(F.when(F.col("x") >= low, F.col("x")).alias("x"))
-        .agg(F.count("*").alias("rows"))
+    inside = values.select("x", bracket.scalar().alias("b")).filter(F.col("x") <= F.col("b.q")[1])
+    counted = inside.groupBy(F.when(F.col("x") >= F.col("b.q")[0], F.col("x")).alias("x")).agg(
+        F.count("*").alias("rows"), F.max("b.n").alias("n")
     )
     upto = F.sum("rows").over(Window.orderBy(F.col("x").asc_nulls_first()))
-    placed = counted.select("x", "rows", upto.alias("upto"), n.alias("n"))
+    placed = counted.select("x", "rows", "n", upto.alias("upto"))
 
     def value_at(rank: Column) -> Column:
         here = (F.col("upto") >= rank) & (F.col("upto") - F.col("rows") < rank)

@@ -23,11 +23,11 @@ def refreshed_profiles(
 def run_risk_refresh(
     spark: SparkSession, profiles_path: str, vitals_path: str, alerts_root: str, as_of: datetime | str
 ) -> int:
-    """Refresh the stored profiles in place; the number of profiles updated."""
+    """Store the refreshed profiles as the table's next snapshot; the number of profiles updated."""
     profiles = tables.load_profiles(spark, profiles_path)
     vitals = tables.load_vitals(spark, vitals_path)
     alerts = tables.load_alerts_by_patient(spark, alerts_root)
-    tables.update_profiles(refreshed_profiles(profiles, vitals, alerts, as_of), profiles_path)
+    tables.refresh_profiles(refreshed_profiles(profiles, vitals, alerts, as_of), profiles_path)
     stored = tables.load_profiles(spark, profiles_path)
     now = F.col("risk_score_updated_at") == col.instant(as_of)
     return stored.filter(now & (F.col("risk_score_source") == c.RISK_SOURCE)).count()

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Keeps the state of the streaming deduplication on disk rather than on the executors' heap.
+ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -22,6 +24,7 @@ def get_session(app_name: str = "wardflow") -> SparkSession:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
         .getOrCreate()
     )
 

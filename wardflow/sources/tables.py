@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from wardflow import schemas
-from wardflow.session import ensure_checkpoint_dir
 
 VITALS = "patient_vitals"
 VITALS_CLEAN = "patient_vitals_clean"
@@ -18,6 +17,7 @@ ALERTS_BY_DAY = "health_alerts_by_day"
 ALERTS_BY_PATIENT = "health_alerts_by_patient"
 QUARANTINE = "quarantine"
 PATIENT_BUCKETS = 16
+SNAPSHOT = "snapshot"
 
 
 def load_table(
@@ -37,7 +37,12 @@ def load_vitals(spark: SparkSession, path: str, fmt: str = "parquet", options: M
 
 
 def load_profiles(spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping | None = None) -> DataFrame:
-    return load_table(spark, path, schemas.PATIENT_PROFILES, fmt, options)
+    """The newest snapshot of the profiles; a table without snapshots is read as it is."""
+    profiles = load_table(spark, path, schemas.PATIENT_PROFILES, fmt, options)
+    if SNAPSHOT not in profiles.columns:
+        return profiles
+    newest = profiles.agg(F.max(SNAPSHOT).alias("newest"))
+    return profiles.filter(F.col(SNAPSHOT) == newest.scalar()).drop(SNAPSHOT)
 
 
 def load_alerts(spark: SparkSession, root: str) -> DataFrame:
@@ -85,17 +90,16 @@ def load_daily_summary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def refresh_profiles(profiles: DataFrame, path: str) -> None:
-    """Replace all profiles."""
-    profiles.select(*schemas.PATIENT_PROFILES.names).write.mode("overwrite").parquet(path)
+    """Replace all profiles by writing the next snapshot; readers take the newest one.
 
-
-def update_profiles(updated: DataFrame, path: str) -> None:
-    """Replace the profiles at ``path`` by a frame that was computed from them.
-
-    The frame is checkpointed first, so it no longer depends on the files being replaced.
+    ``profiles`` may be computed from the table itself: the snapshot it reads stays in place, so a
+    job that fails half-way leaves the table as it was. Old snapshots can be deleted at any time.
     """
-    ensure_checkpoint_dir(updated.sparkSession)
-    refresh_profiles(updated.checkpoint(), path)
+    spark = profiles.sparkSession
+    stored = load_table(spark, path, schemas.PATIENT_PROFILES)
+    newest = stored.agg(F.max(SNAPSHOT)).first()[0] if SNAPSHOT in stored.columns else None
+    numbered = profiles.select(*schemas.PATIENT_PROFILES.names, F.lit((newest or 0) + 1).alias(SNAPSHOT))
+    write_partitions(numbered, path, SNAPSHOT)
 
 
 def export_ranking(ranking: DataFrame, path: str) -> None:

@@ -13,16 +13,31 @@ from wardflow.operators import alerts as al, ingest
 from wardflow.sources import tables
 
 RAW = "raw_message"
+ALERT_FILES = 8
+
+
+def spread(found: DataFrame, *partitions: str, files: int) -> DataFrame:
+    """Gather rows for a partitioned write: each partition is written by ``files`` tasks at most.
+
+    Alerts are few, and without this every task would add a small file to every bucket. The hash of
+    the alert id splits a hot patient's bucket evenly.
+    """
+    return found.repartition(*partitions, F.pmod(F.xxhash64("alert_id"), F.lit(files)))
 
 
 def write_micro_batch(
-    batch: DataFrame, batch_id: int, root: str, *, buckets: int = tables.PATIENT_BUCKETS, keep: Sequence[str] = ()
+    batch: DataFrame,
+    batch_id: int,
+    root: str,
+    *,
+    buckets: int = tables.PATIENT_BUCKETS,
+    alert_files: int = ALERT_FILES,
+    keep: Sequence[str] = (),
 ) -> None:
     """Write one decoded micro-batch to all tables.
 
     The batch id is a partition of every table and is overwritten as a whole, so a batch that is
-    replayed after a failure leaves the same rows. No table is shuffled: a hot patient or day only
-    means more files, not a larger task.
+    replayed after a failure leaves the same rows. The vitals are not shuffled.
     """
     held = batch.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -32,15 +47,19 @@ def write_micro_batch(
 
         found = al.classify_alerts(good)
         base = found.select(*schemas.HEALTH_ALERTS.names, "batch_id")
-        tables.write_partitions(base, f"{root}/{tables.ALERTS}", "batch_id")
+        tables.write_partitions(spread(base, files=alert_files), f"{root}/{tables.ALERTS}", "batch_id")
         by_day = found.select(*schemas.HEALTH_ALERTS_BY_DAY.names, "batch_id")
-        tables.write_partitions(by_day, f"{root}/{tables.ALERTS_BY_DAY}", "day", "batch_id")
-        by_patient = found.select(
-            *schemas.HEALTH_ALERTS_BY_PATIENT.names,
-            tables.patient_bucket(F.col("patient_id"), buckets).alias("patient_bucket"),
+        tables.write_partitions(
+            spread(by_day, "day", files=alert_files), f"{root}/{tables.ALERTS_BY_DAY}", "day", "batch_id"
+        )
+        bucket = tables.patient_bucket(F.col("patient_id"), buckets).alias("patient_bucket")
+        by_patient = found.select(*schemas.HEALTH_ALERTS_BY_PATIENT.names, bucket, "batch_id")
+        tables.write_partitions(
+            spread(by_patient, "patient_bucket", files=alert_files),
+            f"{root}/{tables.ALERTS_BY_PATIENT}",
+            "patient_bucket",
             "batch_id",
         )
-        tables.write_partitions(by_patient, f"{root}/{tables.ALERTS_BY_PATIENT}", "patient_bucket", "batch_id")
 
         tables.write_partitions(bad.select(RAW, "batch_id"), f"{root}/{tables.QUARANTINE}", "batch_id")
     finally:
@@ -68,6 +87,7 @@ def start_vitals_stream(
     checkpoint: str | None = None,
     dedup_delay: str | None = None,
     buckets: int = tables.PATIENT_BUCKETS,
+    alert_files: int = ALERT_FILES,
     keep: Sequence[str] = (),
 ) -> StreamingQuery:
     """Start the ingest query; the caller awaits it, and its failure ends that wait.
@@ -77,7 +97,7 @@ def start_vitals_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_micro_batch(batch, batch_id, root, buckets=buckets, keep=keep)
+        write_micro_batch(batch, batch_id, root, buckets=buckets, alert_files=alert_files, keep=keep)
 
     stream = decoded_stream(envelopes, dedup_delay=dedup_delay, keep=keep)
     writer = (

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wardflow.functions import constants as c
 from wardflow.operators import alerts as al, features as ft, ingest, profiles as pr, risk as rk, summary as sm
 from wardflow.operators import vitals as vt
-from wardflow.operators.ranking import exact_median, top_n
+from wardflow.operators.ranking import exact_cut, exact_median, top_n
 
 AS_OF = datetime(2024, 1, 2, 12, 0, 0)
 VITALS = "patient_id string, timestamp timestamp, metric_name string, value double, unit string"
@@ -391,6 +391,22 @@ def test_split_is_stable_and_complete(spark):
     assert ft.split(df, 1.0)[1].count() == 0 and ft.split(df, 0.0)[0].count() == 0
 
 
+@pytest.mark.parametrize("size, share, trained", [(20, 0.7, 14), (10, 0.75, 7), (1, 0.7, 0), (3, 1.0, 3), (7, 0.0, 0), (1000, 0.3, 300)])
+def test_exact_split_counts(spark, size, share, trained):
+    df = spark.range(size).select(F.concat(F.lit("P-"), F.col("id")).alias("patient_id"))
+    train, test = ft.split(df, share, exact=True)
+    assert (train.count(), test.count()) == (trained, size - trained)
+
+
+def test_exact_cut_with_a_coarse_sketch(spark):
+    rng = random.Random(5)
+    values = [rng.random() for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(6)
+    for share in (0.001, 0.3, 0.7, 0.999, 1.0):
+        rank = int(share * 5000 + 1e-9)
+        assert exact_cut(df, "x", share, accuracy=100).first().cut == sorted(values)[rank - 1]
+
+
 def test_top_n_rank_column_and_range(spark):
     df = spark.createDataFrame([("a", i) for i in range(10)], "k string, i int")
     got = top_n(df, ["k"], [F.col("i").desc()], 4, first=3, rank_as="place", splits=2).collect()

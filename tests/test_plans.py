@@ -13,7 +13,7 @@ from workload import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
 STREAMS = {n for n in entry_module.queries() if n.startswith("stream_") or n == "compacted_vitals"}
-EAGER = STREAMS | {"risk_ranking", "top_risk", "model_metrics", "roc_points", "model_coefficients", "daily_summary_read"}
+EAGER = STREAMS | {"risk_ranking", "top_risk", "model_metrics", "roc_points", "model_coefficients", "daily_summary_read", "feature_auc"}
 
 
 def plan(df):

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 from wardflow.functions import constants as c
 from wardflow.operators.alerts import active_alerts
 from wardflow.operators.profiles import known_patients
-from wardflow.operators.ranking import exact_median
+from wardflow.operators.ranking import exact_cut, exact_median
 from wardflow.operators.vitals import since
 
 LABEL = "high_risk"
-_SPLIT_SPACE = 16**8
+_SPLIT_SPACE = 16**13
 
 
 def wide_means(
@@ -85,13 +85,19 @@ def load_counts(
     return counted(vitals, "vitals").unionByName(counted(active_alerts(alerts), "alerts"))
 
 
-def split(df: DataFrame, train_share: float = 0.7, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def split(
+    df: DataFrame, train_share: float = 0.7, seed: int = 42, *, exact: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the patient id.
 
     A patient stays on its side however the data is partitioned and whenever it is recomputed; no
-    sort or shuffle is needed. The share is met approximately.
+    sort or shuffle is needed. The share is met approximately, or with ``exact`` to the row (14 and
+    6 of 20), for one more pass that finds the hash to cut at.
     """
-    cut = round(train_share * _SPLIT_SPACE)
-    bound = "g" if cut >= _SPLIT_SPACE else f"{max(0, cut):08x}"  # "g" is above every hex digit
-    digest = F.substring(F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("patient_id")), 256), 1, 8)
-    return df.filter(digest < bound), df.filter(digest >= bound)
+    digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("patient_id")), 256)
+    number = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")  # 52 bits: exact as a double
+    cut = F.lit(float(round(train_share * _SPLIT_SPACE)))
+    if exact:
+        largest = exact_cut(df.select(number.alias("number")), "number", train_share).scalar()
+        cut = F.coalesce(largest, F.lit(-1.0)) + 1.0
+    return df.filter(number < cut), df.filter(number >= cut)

@@ -57,12 +57,16 @@ def accuracy(scored: DataFrame) -> float | None:
     return scored.agg(F.avg(right)).first()[0]
 
 
-def roc_auc(scored: DataFrame) -> float | None:
-    """Area under the exact ROC curve; None when only one class is present."""
+def roc_auc(scored: DataFrame, score: str = "rawPrediction") -> float | None:
+    """Area under the exact ROC curve of ``score``; None when only one class is present.
+
+    ``score`` is the model's raw prediction or any double column. Spark sorts the scores over all
+    tasks and keeps every threshold (numBins=0), where its default would bin them.
+    """
     if scored.agg(F.countDistinct(LABEL)).first()[0] < 2:
         return None
     evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol="rawPrediction", labelCol=LABEL, metricName="areaUnderROC", numBins=0
+        rawPredictionCol=score, labelCol=LABEL, metricName="areaUnderROC", numBins=0
     )
     return evaluator.evaluate(scored)
 

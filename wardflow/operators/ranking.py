@@ -47,29 +47,46 @@ def top_n(
     return out.withColumnRenamed(_RANK, rank_as) if rank_as else out.drop(_RANK)
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
-    """The exact median of a numeric column as one row, without gathering the column in one task.
+def _around(df: DataFrame, column: str, share: float, accuracy: int) -> DataFrame:
+    """The values near rank share * n with exact cumulative counts: (x, rows, n, upto).
 
-    A mergeable quantile sketch first brackets the two middle ranks: its rank error is at most
-    count / accuracy, so a margin of four times that on either side is certain to hold them. Values
-    below the bracket are only counted. Values inside are collapsed to (value, count) and ranked
-    exactly: about 10 / accuracy of the column at most, whatever its distribution.
+    A mergeable quantile sketch first brackets the rank: its error is at most n / accuracy, so a
+    margin of four times that on either side is certain to hold it. Values below the bracket are
+    only counted (x is null); values inside are collapsed to (value, count) before one task ranks
+    them, about 10 / accuracy of the column at most, whatever its distribution. Up to ten times
+    ``accuracy`` values are ranked without a bracket.
     """
     values = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
     margin = 4.0 / accuracy
-    bracket = values.agg(
-        F.percentile_approx("x", [0.5 - margin, 0.5 + margin], accuracy).alias("q"), F.count("*").alias("n")
-    ).select(F.struct("q", "n").alias("bracket"))
-    inside = values.select("x", bracket.scalar().alias("b")).filter(F.col("x") <= F.col("b.q")[1])
-    counted = inside.groupBy(F.when(F.col("x") >= F.col("b.q")[0], F.col("x")).alias("x")).agg(
+    shares = [max(0.0, share - margin), min(1.0, share + margin)]
+    few = F.col("n") <= 10 * accuracy
+    bracket = values.agg(F.percentile_approx("x", shares, accuracy).alias("q"), F.count("*").alias("n")).select(
+        F.struct(
+            F.when(few, F.lit(float("-inf"))).otherwise(F.col("q")[0]).alias("low"),
+            F.when(few, F.lit(float("nan"))).otherwise(F.col("q")[1]).alias("high"),  # NaN is above all
+            "n",
+        ).alias("bracket")
+    )
+    inside = values.select("x", bracket.scalar().alias("b")).filter(F.col("x") <= F.col("b.high"))
+    counted = inside.groupBy(F.when(F.col("x") >= F.col("b.low"), F.col("x")).alias("x")).agg(
         F.count("*").alias("rows"), F.max("b.n").alias("n")
     )
     upto = F.sum("rows").over(Window.orderBy(F.col("x").asc_nulls_first()))
-    placed = counted.select("x", "rows", "n", upto.alias("upto"))
+    return counted.select("x", "rows", "n", upto.alias("upto"))
+
+
+def _value_at(rank: Column) -> Column:
+    here = (F.col("upto") >= rank) & (F.col("upto") - F.col("rows") < rank)
+    return F.max(F.when(here, F.col("x")))
+
+
+def exact_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
+    """The exact median of a numeric column as one row, without gathering the column in one task."""
+    middle = _value_at(F.floor((F.col("n") + 1) / 2)) + _value_at(F.floor((F.col("n") + 2) / 2))
+    return _around(df, column, 0.5, accuracy).agg((middle / 2.0).alias("median"))
 
-    def value_at(rank: Column) -> Column:
-        here = (F.col("upto") >= rank) & (F.col("upto") - F.col("rows") < rank)
-        return F.max(F.when(here, F.col("x")))
 
-    middle = value_at(F.floor((F.col("n") + 1) / 2)) + value_at(F.floor((F.col("n") + 2) / 2))
-    return placed.agg((middle / 2.0).alias("median"))
+def exact_cut(df: DataFrame, column: str, share: float, accuracy: int = 10_000) -> DataFrame:
+    """The largest of the floor(share * n) smallest values as one row; null when that is none."""
+    rank = F.floor(F.col("n") * share + 1e-9)
+    return _around(df, column, share, accuracy).agg(_value_at(rank).alias("cut"))

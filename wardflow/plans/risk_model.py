@@ -32,16 +32,21 @@ class RiskModel:
         return ml.model_coefficients(self.labelled.sparkSession, self.model)
 
 
-def fit_risk_model(
-    vitals: DataFrame, profiles: DataFrame, as_of: datetime | str, *, train_share: float = 0.7, seed: int = 42
-) -> RiskModel:
-    """Train on the last day's features of known patients.
+def labelled_features(vitals: DataFrame, profiles: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The last day's features of known patients with their label, checkpointed.
 
-    The features are checkpointed, one row per patient: the median, the optimiser's passes and the
-    evaluations all read that table rather than the vitals, and it survives lost executors.
+    That is one row per patient. The median, the optimiser's passes and the evaluations all read
+    this table rather than the vitals, and it survives lost executors.
     """
     ensure_checkpoint_dir(vitals.sparkSession)
     features = ft.patient_features(vitals, as_of, profiles=profiles).checkpoint()
-    labelled = ft.label_high_risk(features).checkpoint()
-    train, test = ft.split(labelled, train_share, seed)
+    return ft.label_high_risk(features).checkpoint()
+
+
+def fit_risk_model(
+    vitals: DataFrame, profiles: DataFrame, as_of: datetime | str, *, train_share: float = 0.7, seed: int = 42
+) -> RiskModel:
+    """Train on a part of the patients; the result ranks and evaluates on demand."""
+    labelled = labelled_features(vitals, profiles, as_of)
+    train, test = ft.split(labelled, train_share, seed, exact=True)
     return RiskModel(ml.train_risk_model(train), labelled, train, test)

@@ -24,6 +24,8 @@ def get_session(app_name: str = "wardflow") -> SparkSession:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Recording the Python line of every column expression takes longer than planning them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
         .getOrCreate()
     )

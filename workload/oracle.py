@@ -311,7 +311,7 @@ FROM summary JOIN reference USING (metric_name)""",
         REFERENCE,
         PROFILES,
         cards_cte(40),
-        f"""SELECT p.patient_id, p.name, s.metric_name, CAST(s.position AS int) AS position, s.metric_label, s.description,
+        f"""SELECT p.patient_id, p.name, s.metric_name, CAST(s.position AS varchar) AS position, s.metric_label, s.description,
   s.card_unit, s.range_text, round(s.value, 6) AS value, s.unit, strftime(s.t, '%Y-%m-%d %H:%M:%S') AS "timestamp",
   s.range_status, s.range_warning FROM profiles p LEFT JOIN shown s USING (patient_id)""",
     ),
@@ -404,6 +404,25 @@ FROM readable WHERE turn IN (1, 2, 3)""",
     "label_distribution": with_tables(
         VITALS, PROFILES, FEATURES, LABELLED, "SELECT high_risk, count(*) AS patients FROM labelled GROUP BY high_risk"
     ),
+    "feature_auc": with_tables(
+        VITALS,
+        PROFILES,
+        FEATURES,
+        LABELLED,
+        """scored AS (
+  SELECT 'heart_rate' AS feature, heart_rate AS score, high_risk FROM labelled
+  UNION ALL SELECT 'bp_systolic', bp_systolic, high_risk FROM labelled
+)""",
+        """placed AS (
+  SELECT feature, high_risk,
+    rank() OVER (PARTITION BY feature ORDER BY score)
+      + (count(*) OVER (PARTITION BY feature, score) - 1) / 2.0 AS place
+  FROM scored
+)""",
+        """SELECT feature, round((sum(place) FILTER (WHERE high_risk = 1)
+    - sum(high_risk) * (sum(high_risk) + 1) / 2.0) / (sum(high_risk) * sum(1 - high_risk)), 6) AS auc
+FROM placed GROUP BY feature""",
+    ),
     "load_counts": with_tables(
         VITALS,
         CLASSIFIED,
@@ -418,7 +437,14 @@ WHERE t >= TIMESTAMP '2024-01-01 12:00:00' AND patient_id IN (SELECT patient_id
         VITALS,
         PROFILES,
         FEATURES,
-        """SELECT patient_id, CASE WHEN left(sha256('42|' || patient_id), 8) < 'b3333333' THEN 'train' ELSE 'test' END AS part
-FROM features""",
+        """SELECT patient_id,
+  CASE WHEN left(sha256('42|' || patient_id), 13) < 'b333333333333' THEN 'train' ELSE 'test' END AS part FROM features""",
+    ),
+    "train_test_split_exact": with_tables(
+        VITALS,
+        PROFILES,
+        FEATURES,
+        """SELECT patient_id, CASE WHEN row_number() OVER (ORDER BY left(sha256('42|' || patient_id), 13))
+    <= floor(0.7 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS part FROM features""",
     ),
 }

@@ -10,7 +10,7 @@ from wardflow import schemas
 from wardflow.functions import columns as col
 from wardflow.operators import alerts as al, features as ft, ingest, model as ml, profiles as pr
 from wardflow.operators import risk as rk, summary as sm, vitals as vt
-from wardflow.plans.risk_model import RiskModel, fit_risk_model
+from wardflow.plans.risk_model import RiskModel, fit_risk_model, labelled_features
 from wardflow.plans.risk_refresh import refreshed_profiles
 from wardflow.session import new_work_dir
 from wardflow.sources import tables
@@ -205,8 +205,9 @@ def metric_cards(spark, sf):
 @query
 def patient_overview(spark, sf):
     pages = vt.patient_overview(fx.profiles(spark, sf), fx.vitals(spark, sf), cap=40)
-    cards = pages.select("patient_id", "name", F.explode_outer("cards").alias("card"))
-    return shown(cards.select("patient_id", "name", "card.*"), "value")
+    cards = pages.select("patient_id", "name", F.explode_outer("cards").alias("card")).select("patient_id", "name", "card.*")
+    # As text: the position is null for a patient without readings.
+    return shown(cards.withColumn("position", F.col("position").cast("string")), "value")
 
 
 @query
@@ -376,6 +377,20 @@ def train_test_split(spark, sf):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@query
+def feature_auc(spark, sf):
+    """The model's AUC evaluation on scores that SQL can compute too: two features as they are."""
+    labelled = labelled_features(fx.vitals(spark, sf), fx.profiles(spark, sf), fx.AS_OF)
+    rows = [(name, ml.roc_auc(labelled, name)) for name in ("heart_rate", "bp_systolic")]
+    return shown(spark.createDataFrame(rows, "feature string, auc double"), "auc")
+
+
+@query
+def train_test_split_exact(spark, sf):
+    train, test = ft.split(_features(spark, sf).select("patient_id"), exact=True)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
 def _model(spark, sf) -> RiskModel:
     return fit_risk_model(fx.vitals(spark, sf), fx.profiles(spark, sf), fx.AS_OF)
 

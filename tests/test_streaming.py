@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from wardflow import schemas
 from wardflow.operators import alerts as al, ingest
+from wardflow.session import ROCKSDB_STATE
 from wardflow.sources import tables
 from wardflow.sources.stream import KAFKA_DEFAULTS, read_vitals_stream, stream_options
 from wardflow.streaming.ingest import compact_vitals, start_vitals_stream, write_micro_batch
 
 NOW = {"availableNow": True}
+STATE_CONF = "spark.sql.streaming.stateStore.providerClass"
 START = datetime(2024, 1, 2, 11, 0, 0)
 
 
@@ -100,11 +102,17 @@ def test_replayed_batch_leaves_the_tables_unchanged(spark, tmp_path):
     assert counts() == [80, 38, 38, 38, 2]
 
 
-def test_resent_readings_are_dropped_within_the_delay(spark, feed, tmp_path):
+@pytest.mark.parametrize("provider", [None, ROCKSDB_STATE])
+def test_resent_readings_are_dropped_within_the_delay(spark, feed, tmp_path, provider):
     root = str(tmp_path / "root")
+    if provider:
+        spark.conf.set(STATE_CONF, provider)
     feed.send(message("a", 0, 80.0), message("a", 0, 80.0), message("b", 0, 81.0), "broken", "broken")
     feed.send(message("a", 0, 99.0), message("a", 60, 82.0), message("b", 0, 81.0))
-    run(feed, root, {"maxFilesPerTrigger": "1"}, dedup_delay="1 hour")
+    try:
+        run(feed, root, {"maxFilesPerTrigger": "1"}, dedup_delay="1 hour")
+    finally:
+        spark.conf.unset(STATE_CONF)
     vitals = stored(spark, root, tables.VITALS, schemas.PATIENT_VITALS)
     assert sorted((r.patient_id, r.value) for r in vitals.collect()) == [("a", 80.0), ("a", 82.0), ("b", 81.0)]
     assert spark.read.parquet(f"{root}/{tables.QUARANTINE}").count() == 2

@@ -2,18 +2,19 @@
 
 import csv
 import glob
-from datetime import datetime, timedelta, timezone
+import random
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from wardflow import jobs, session
+from wardflow.functions.constants import METRIC_NAMES
 from wardflow.operators import summary as sm
 from wardflow.plans.daily import run_daily_summary
 from wardflow.plans.risk_refresh import run_risk_refresh
 from wardflow.sources import tables
-from wardflow.streaming.ingest import write_micro_batch
-from tests.test_operators import AS_OF, VITALS, alerts, at, profiles, vitals
+from tests.test_operators import AS_OF, at, profiles, vitals
 
 
 @pytest.fixture
@@ -108,4 +109,23 @@ def test_command_line(spark, stored_vitals, tmp_path, capsys, monkeypatch):
     jobs.main(["risk-refresh", "--profiles", people, "--vitals", stored_vitals, "--alerts-root", str(tmp_path / "none"), "--as-of", "2024-01-02 12:00:00"])
     assert "Updated 1 profiles" in capsys.readouterr().out
     args = jobs.parse_args(["ingest", "--root", "r", "--option", "subscribe=other"])
+    assert not args.available_now
     assert args.format == "kafka" and jobs._pairs(args.option) == {"subscribe": "other"}
+
+
+def test_command_line_from_messages_to_ranking(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "get_session", lambda name: spark)
+    root, feed, people = str(tmp_path / "root"), str(tmp_path / "feed"), str(tmp_path / "profiles")
+    rng = random.Random(2)
+    rows = [(f"p{i:02d}", at(-j), m, 80.0 + i + rng.random()) for i in range(40) for j, m in enumerate(METRIC_NAMES)]
+    readings = vitals(spark, rows).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    readings.select(F.to_json(F.struct("*")).cast("binary").alias("value")).coalesce(1).write.parquet(feed)
+    jobs.main(["ingest", "--root", root, "--format", "parquet", "--path", feed, "--available-now"])
+    jobs.main(["compact", "--root", root, "2024-01-02"])
+    clean = f"{root}/{tables.VITALS_CLEAN}"
+    assert tables.load_vitals(spark, clean).count() == 240
+    tables.refresh_profiles(profiles(spark, *[(f"p{i:02d}", None) for i in range(40)]), people)
+    output = str(tmp_path / "ranking")
+    jobs.main(["risk-model", "--profiles", people, "--vitals", clean, "--output", output, "--as-of", "2024-01-02 12:00:00"])
+    ranking = spark.read.option("header", True).csv(output)
+    assert ranking.count() == 40 and ranking.columns == ["patient_id", "predicted_risk", "actual_high_risk"]

@@ -36,6 +36,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--path", default=None, help="folder to watch, for a file format")
     stream.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
     stream.add_argument("--dedup-delay", default=None, help="drop re-sent readings within this event time")
+    stream.add_argument("--available-now", action="store_true", help="stop when the messages at hand are read")
 
     compact = jobs.add_parser("compact", help="fold ingest batches into the clean vitals table")
     compact.add_argument("--root", required=True)
@@ -68,7 +69,8 @@ def main(argv: list[str] | None = None) -> None:
             print(f"No vitals for {day}. Nothing written.")
     elif args.job == "ingest":
         envelopes = read_vitals_stream(spark, args.format, _pairs(args.option), path=args.path)
-        start_vitals_stream(envelopes, args.root, dedup_delay=args.dedup_delay).awaitTermination()
+        trigger = {"availableNow": True} if args.available_now else None
+        start_vitals_stream(envelopes, args.root, trigger=trigger, dedup_delay=args.dedup_delay).awaitTermination()
     elif args.job == "compact":
         compact_vitals(spark, args.root, *args.days)
     elif args.job == "risk-refresh":

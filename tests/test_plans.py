@@ -120,3 +120,27 @@ def test_patches_are_aggregated_before_their_exchange(spark, stored):
 def test_messages_are_parsed_once(spark):
     good, _ = ingest.split_bad_records(ingest.decode_vitals(fx.messages(spark, SF)))
     assert good._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_a_hot_patient_s_partition_is_split_in_the_join(spark):
+    settings = {
+        "spark.sql.shuffle.partitions": "32",  # with few partitions a third of the rows is no outlier
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+    }
+    rows = spark.range(0, 200_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('p', id % 5000) END AS patient_id", "cast(id AS double) AS value"
+    )
+    people = spark.range(5000).selectExpr("concat('p', id) AS patient_id").union(spark.sql("SELECT 'hot'"))
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        known = pr.known_patients(rows, people)
+        assert len(known.collect()) == 200_000
+        assert "SortMergeJoin(skew=true)" in plan(known)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)

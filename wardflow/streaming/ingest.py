@@ -100,11 +100,8 @@ def start_vitals_stream(
         write_micro_batch(batch, batch_id, root, buckets=buckets, alert_files=alert_files, keep=keep)
 
     stream = decoded_stream(envelopes, dedup_delay=dedup_delay, keep=keep)
-    writer = (
-        stream.writeStream.queryName("vitals_ingest")
-        .option("checkpointLocation", checkpoint or f"{root}/_checkpoint")
-        .foreachBatch(write)
-    )
+    where = checkpoint or f"{root}/_checkpoint"
+    writer = stream.writeStream.option("checkpointLocation", where).foreachBatch(write)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 

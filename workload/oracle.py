@@ -231,6 +231,14 @@ FROM {newest("resent", "patient_id, t, metric_name", "event_id DESC")} WHERE rn
         "scanned AS (SELECT * FROM alerts WHERE day = DATE '2024-01-02' ORDER BY t DESC, alert_id LIMIT 24)",
         f"""SELECT {ALERTS_OUT} FROM scanned WHERE t >= {AS_OF} - INTERVAL 1440 MINUTE AND {IS_ACTIVE}
 ORDER BY t DESC, alert_id LIMIT 20""",
+    ),
+    "recent_alerts_limited": with_tables(
+        VITALS,
+        CLASSIFIED,
+        ALERTS,
+        "scanned AS (SELECT * FROM alerts WHERE day = DATE '2024-01-02' ORDER BY t DESC, alert_id LIMIT 500)",
+        f"""SELECT {ALERTS_OUT} FROM scanned WHERE t >= {AS_OF} - INTERVAL 1440 MINUTE AND {IS_ACTIVE}
+ORDER BY t DESC, alert_id LIMIT 5""",
     ),
     "recent_alerts_unbounded": with_tables(
         VITALS,

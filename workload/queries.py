@@ -99,6 +99,12 @@ def recent_alerts(spark, sf):
     return shown(rows, "observed_value")
 
 
+@query
+def recent_alerts_limited(spark, sf):
+    rows = al.recent_alerts(fx.alerts(spark, sf), fx.AS_OF, limit=5, since_minutes=1440)
+    return shown(rows, "observed_value")
+
+
 @query
 def recent_alerts_unbounded(spark, sf):
     rows = al.recent_alerts(

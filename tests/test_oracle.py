@@ -23,7 +23,7 @@ def duck():
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 8)
+        return None if math.isnan(value) else round(value, 9)
     return value
 
 

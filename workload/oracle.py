@@ -1,7 +1,8 @@
 """ANSI SQL for the registered queries, for DuckDB on the same parquet tables.
 
-Each statement inlines the derived tables it needs. Doubles are rounded (means of few readings to
-eight places, where six would give ties) and times are text, as in the queries. The model queries and their evaluation have no SQL form.
+Each statement inlines the derived tables it needs. Doubles are rounded to six places (means of few
+readings to eight, risk scores to nine, where six would give ties) and times are text, as in the
+queries. The fitted model's queries have no SQL form.
 """
 
 VITALS = """vitals AS (
@@ -157,7 +158,7 @@ REFRESHED = """refreshed AS (
   FROM profiles p LEFT JOIN changed c USING (patient_id)
 )"""
 
-PROFILE_OUT = """patient_id, name, email, phone, medical_notes, round(risk_score, 6) AS risk_score, last_updated,
+PROFILE_OUT = """patient_id, name, email, phone, medical_notes, round(risk_score, 9) AS risk_score, last_updated,
   risk_score_updated_at, risk_score_source"""
 
 BANDS = """CASE WHEN coalesce(risk_score, 0.0) > 0.5 THEN 'red' ELSE 'green' END AS risk_band,
@@ -334,18 +335,18 @@ FROM vitals JOIN reference USING (metric_name)""",
     ),
     "risk_scores": with_tables(
         *scores_ctes(30, 200, 30, 50),
-        """SELECT patient_id, round(metric_score, 6) AS metric_score, active_alerts, round(risk_score, 6) AS risk_score
+        """SELECT patient_id, round(metric_score, 9) AS metric_score, active_alerts, round(risk_score, 9) AS risk_score
 FROM scores""",
     ),
     "risk_scores_wide": with_tables(
         *WIDE,
-        """SELECT patient_id, round(metric_score, 6) AS metric_score, active_alerts, round(risk_score, 6) AS risk_score
+        """SELECT patient_id, round(metric_score, 9) AS metric_score, active_alerts, round(risk_score, 9) AS risk_score
 FROM scores""",
     ),
     "changed_risk": with_tables(
         *WIDE,
         CHANGED,
-        """SELECT patient_id, round(risk_score, 6) AS risk_score, round(previous_score, 6) AS previous_score FROM changed""",
+        """SELECT patient_id, round(risk_score, 9) AS risk_score, round(previous_score, 9) AS previous_score FROM changed""",
     ),
     "changed_risk_count": with_tables(*WIDE, CHANGED, "SELECT count(*) AS updated FROM changed"),
     "refreshed_risk_profiles": with_tables(*WIDE, CHANGED, REFRESHED, f"SELECT {PROFILE_OUT} FROM refreshed"),
@@ -353,15 +354,17 @@ FROM scores""",
         *WIDE,
         CHANGED,
         REFRESHED,
-        """SELECT patient_id, round(risk_score, 6) AS risk_score, risk_score_updated_at FROM refreshed ORDER BY patient_id""",
+        """SELECT patient_id, round(risk_score, 9) AS risk_score, risk_score_updated_at FROM refreshed ORDER BY patient_id""",
     ),
     "ward_ranking": with_tables(
         PROFILES,
-        f"""SELECT patient_id, name, medical_notes, round(coalesce(risk_score, 0.0), 6) AS risk_score, {BANDS}
+        f"""SELECT patient_id, name, medical_notes, round(coalesce(risk_score, 0.0), 9) AS risk_score, {BANDS}
 FROM profiles ORDER BY coalesce(risk_score, 0.0) DESC, patient_id""",
     ),
     "risk_bands": with_tables(
-        *WIDE, f"SELECT patient_id, round(risk_score, 6) AS risk_score, {BANDS} FROM scores"
+        *WIDE,
+        f"""SELECT patient_id, risk_score, {BANDS}
+FROM (SELECT patient_id, round(risk_score, 9) AS risk_score FROM scores) s""",
     ),
     "profile_list": with_tables(PROFILES, f"SELECT {PROFILE_OUT} FROM profiles ORDER BY patient_id"),
     "patched_profiles": with_tables(
@@ -373,7 +376,7 @@ FROM profiles ORDER BY coalesce(risk_score, 0.0) DESC, patient_id""",
   CASE seq WHEN 1 THEN 'Patched ' || name WHEN 2 THEN 'Again ' || name ELSE name END AS name,
   CASE seq WHEN 2 THEN '' ELSE email END AS email,
   CASE seq WHEN 1 THEN '0' WHEN 2 THEN '1' ELSE phone END AS phone,
-  CASE seq WHEN 2 THEN 'later note' ELSE medical_notes END AS medical_notes, round(risk_score, 6) AS risk_score,
+  CASE seq WHEN 2 THEN 'later note' ELSE medical_notes END AS medical_notes, round(risk_score, 9) AS risk_score,
   CASE WHEN seq IS NOT NULL THEN '2024-01-02 12:00:00' ELSE last_updated END AS last_updated,
   risk_score_updated_at, risk_score_source
 FROM profiles LEFT JOIN patched USING (patient_id)""",

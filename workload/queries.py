@@ -236,18 +236,18 @@ def _scores(spark, sf, **sizes):
 
 @query
 def risk_scores(spark, sf):
-    return shown(_scores(spark, sf), "metric_score", "risk_score")
+    return shown(_scores(spark, sf), "metric_score", "risk_score", digits=9)
 
 
 @query
 def risk_scores_wide(spark, sf):
-    return shown(_scores(spark, sf, **WIDE), "metric_score", "risk_score")
+    return shown(_scores(spark, sf, **WIDE), "metric_score", "risk_score", digits=9)
 
 
 @query
 def changed_risk(spark, sf):
     changed = rk.changed_risk(_scores(spark, sf, **WIDE), fx.profiles(spark, sf))
-    return shown(changed, "risk_score", "previous_score")
+    return shown(changed, "risk_score", "previous_score", digits=9)
 
 
 @query
@@ -263,23 +263,24 @@ def _refreshed(spark, sf):
 
 @query
 def refreshed_risk_profiles(spark, sf):
-    return shown(flat(_refreshed(spark, sf)), "risk_score")
+    return shown(flat(_refreshed(spark, sf)), "risk_score", digits=9)
 
 
 @query
 def risk_list(spark, sf):
-    return shown(rk.risk_list(_refreshed(spark, sf)), "risk_score")
+    return shown(rk.risk_list(_refreshed(spark, sf)), "risk_score", digits=9)
 
 
 @query
 def ward_ranking(spark, sf):
-    return shown(rk.ward_ranking(fx.profiles(spark, sf)), "risk_score")
+    return shown(rk.ward_ranking(fx.profiles(spark, sf)), "risk_score", digits=9)
 
 
 @query
 def risk_bands(spark, sf):
-    scored = _scores(spark, sf, **WIDE).select("patient_id", "risk_score")
-    return shown(rk.with_risk_band(scored), "risk_score")
+    # Rounded first: a percentage would turn a difference in the last bit into a whole point.
+    scored = _scores(spark, sf, **WIDE).select("patient_id", F.round("risk_score", 9).alias("risk_score"))
+    return rk.with_risk_band(scored)
 
 
 # Profiles
@@ -287,13 +288,13 @@ def risk_bands(spark, sf):
 
 @query
 def profile_list(spark, sf):
-    return shown(flat(pr.profile_list(fx.profiles(spark, sf))), "risk_score")
+    return shown(flat(pr.profile_list(fx.profiles(spark, sf))), "risk_score", digits=9)
 
 
 @query
 def patched_profiles(spark, sf):
     edits = pr.edit_patches(fx.profile_patches(spark, sf), fx.AS_OF)
-    return shown(flat(pr.apply_patches(fx.profiles(spark, sf), edits)), "risk_score")
+    return shown(flat(pr.apply_patches(fx.profiles(spark, sf), edits)), "risk_score", digits=9)
 
 
 # Streams: the same operators on a streaming frame, run until the input is used up

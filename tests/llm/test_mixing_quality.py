@@ -1,0 +1,124 @@
+"""Mixing against SQL and its own promises; quality figures against plain definitions."""
+
+import math
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import awkward, docs_of, empty, with_clashes
+from wardflow.llm import mixing, quality
+from wardflow.llm.oracle import mixing_sql
+from wardflow.llm.queries import QUERIES, documents
+
+SF = "/root/testdata/sf0.01"
+
+
+def sql_rows(docs, sql):
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "source").toArrow())
+    done = con.execute(sql)
+    names = [d[0] for d in done.description]
+    return sorted((tuple(r[names.index(c)] for c in sorted(names)) for r in done.fetchall()), key=str)
+
+
+def spark_rows(df):
+    return sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize(
+    "mixture",
+    [mixing.Mixture(), mixing.Mixture(target_entropy=0.9999, most_repeats=1.1), mixing.Mixture(budget_share=2.7, block_digits=1),
+     mixing.Mixture(target_entropy=0.1), mixing.Mixture(budget_share=9.0, most_repeats=2.0), mixing.Mixture(budget_share=0.01)],
+)
+def test_mixture_equals_sql(spark, mixture):
+    docs = documents(spark, SF)
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "src0").otherwise(F.col("source")))
+    assert spark_rows(mixing.mixed(docs, mixture)) == sql_rows(docs, mixing_sql(mixture))
+
+
+def test_mixture_meets_its_budget(spark):
+    docs = documents(spark, SF).withColumn("source", F.when(F.col("doc_id") % 3 == 0, "src0").otherwise(F.col("source")))
+    tokens = {r["source"]: r["t"] for r in docs.groupBy("source").agg(F.sum(mixing.n_tokens(F.col("text"))).alias("t")).collect()}
+    total, longest = sum(tokens.values()), docs.agg(F.max(mixing.n_tokens(F.col("text")))).first()[0]
+    rows = mixing.mixed(docs).collect()
+    got = Counter()
+    for r in rows:
+        got[r["source"]] += r["n_tokens"]
+    assert total * 0.97 - 20 * longest < sum(got.values()) <= total
+    shares = [n / sum(got.values()) for n in got.values()]
+    assert -sum(p * math.log(p) for p in shares) > 0.96 * math.log(len(got))
+    assert all(got[s] <= 4 * tokens[s] for s in got)
+    # An epoch reads nothing twice, and only the last is partial.
+    assert max(Counter((r["doc_id"], r["epoch"]) for r in rows).values()) == 1
+    assert mixing.mix(docs).count() == len(rows)
+
+
+def test_mixture_of_awkward_rows(spark):
+    docs = with_clashes(awkward(spark))
+    assert spark_rows(mixing.mixed(docs)) == sql_rows(docs, mixing_sql(mixing.Mixture()))
+    mixed = mixing.mix(docs)
+    assert mixed.schema.names == docs.schema.names
+    assert mixing.mix(empty(spark)).count() == 0 == mixing.mixed(empty(spark)).count()
+    silent = docs_of(spark, [(1, None), (2, "")])
+    assert mixing.mixed(silent).count() == 0
+
+
+def brute(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {k + d for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for d in range(3)}
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+        sum(line in lines[:k] for k, line in enumerate(lines)), len(covered),
+    )
+
+
+PARTS = st.sampled_from(["a", "b", "é", " ", "漢", " ", "  ", "\n", "\t", "\x0b", "\x1c", "#", "<b>", "a b a b ", " "])
+
+
+@given(st.lists(PARTS, max_size=40).map("".join))
+@settings(max_examples=400, deadline=None)
+def test_figures(text):
+    got = quality.assess_text(text, quality.Rules())
+    assert got[:5] == brute(text)
+    assert got[5] == (got[0] < 50 or 100 * got[4] > 50 * got[0])
+
+
+def test_quality_of_all_documents(spark):
+    got = {r["doc_id"]: r for r in QUERIES["op9_quality"](spark, SF).collect()}
+    for r in documents(spark, SF).collect():
+        g = got[r["doc_id"]]
+        want = brute(r["text"] or "")
+        assert (g["n_words"], g["word_chars"], g["n_symbols"], g["n_dup_lines"], g["n_repeat_words"]) == want
+        assert g["kept"] == (not g["base_failed"] and g["lost_share"] <= 0.5)
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    judged = [(r["quality"], got[r["doc_id"]]["kept"]) for r in labels if got[r["doc_id"]]["n_words"] >= 50]
+    assert sum(q == k for q, k in judged) >= 0.99 * len(judged)
+
+
+@pytest.mark.parametrize(
+    "line, rule",
+    [("Home | About | Contact | Login", "navigation"), ("Read more", "navigation"), ("All rights reserved.", "boilerplate"),
+     ("Licensed under CC BY-NC 4.0.", "boilerplate"), ("THIS IS LOUD TEXT.", "shouting"), ("no end mark", "punctuation"),
+     ("one$$ two## three** four.", "punctuation"), ("GO!! NOW!! stay!! away.", "punctuation"), ("go " * 12, "repetition"),
+     ("An ordinary sentence with some words in it.", ""), ("Its end is cut but the line is long enough to stay", ""),
+     ("Prices rose by 5% to $3 in the year, he said.", ""), ("Das ist ein Satz über Äpfel.", "")],
+)
+def test_line_rules(line, rule):
+    assert quality.line_fails(line, quality.Rules()) == rule
+
+
+def test_clean_removes_lines_and_documents(spark):
+    prose = "\n".join(f"This is sentence number {k} of a plain text about nothing." for k in range(12))
+    docs = docs_of(spark, [(1, prose + "\nAll rights reserved.\n" + prose.split("\n")[0]), (2, "go now " * 80), (3, None), (4, prose)])
+    got = {r["doc_id"]: r for r in quality.clean(with_clashes(docs)).collect()}
+    assert set(got) == {1, 4}
+    assert got[1]["text"] == got[4]["text"] == prose
+    assert got[1]["kept"] == "own"
+    assert quality.clean(empty(spark)).count() == 0
+    assert quality.assess(with_clashes(awkward(spark)), with_text=True).count() == 12

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import simhash
+from wardflow.llm import mixing, oracle, packing, quality, simhash, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +23,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op5_token_files(spark, sf):
+    back = token_files.tokens_round_trip(
+        documents(spark, sf), vocabulary=public_tokenizers.path("word_bpe_49k.json"), end_id=1
+    )
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op6_mixing(spark, sf):
+    return mixing.mixed(documents(spark, sf), mixing.Mixture())
+
+
+ORACLE["op6_mixing"] = oracle.mixing_sql(mixing.Mixture())
+
+
+@query
+def op8_packing(spark, sf):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(documents(spark, sf), vocabulary, end_id=2, limit=1024)
+
+
+@query
+def op9_quality(spark, sf):
+    return quality.assess(documents(spark, sf))
+
+
 @query
 def op10_simhash(spark, sf):
     found = simhash.near_duplicates(documents(spark, sf), shingle=3, distance=3)

@@ -114,7 +114,7 @@ def test_line_rules(line, rule):
 
 
 def test_clean_removes_lines_and_documents(spark):
-    prose = "\n".join(f"This is sentence number {k} of a plain text about nothing." for k in range(12))
+    prose = "\n".join(" ".join(f"word{k * 10 + n}" for n in range(10)) + "." for k in range(12))
     docs = docs_of(spark, [(1, prose + "\nAll rights reserved.\n" + prose.split("\n")[0]), (2, "go now " * 80), (3, None), (4, prose)])
     got = {r["doc_id"]: r for r in quality.clean(with_clashes(docs)).collect()}
     assert set(got) == {1, 4}

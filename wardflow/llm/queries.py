@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import mixing, oracle, packing, quality, simhash, token_files
+import corpus_pipeline
+from wardflow.llm import mixing, oracle, packing, pii, quality, simhash, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
+
+
+@query
+def op1_pii(spark, sf):
+    docs = documents(spark, sf)
+    return pii.find(docs, pii.train(docs))
+
+
 @query
 def op5_token_files(spark, sf):
     back = token_files.tokens_round_trip(

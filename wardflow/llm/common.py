@@ -77,3 +77,23 @@ def connected(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def block_pairs(routed: DataFrame, key: str, row_id: str, db_rows: int, query_rows: int) -> DataFrame:
+    """Rows of ``routed`` dealt to groups (``key``, ``db``, ``q``) in which each key's rows can be compared.
+
+    Every row queries its key; those with ``home`` also rest there. In a group, rows with ``role`` true are a block
+    of resting rows and the others a block of queries, and every pair of blocks of a key has its group. So a key
+    with very many rows is compared in many groups of bounded size.
+    """
+    sizes = routed.groupBy(key).agg(F.count_if("home").alias("resting"), F.count("*").alias("queries"))
+    db_blocks = F.ceil(F.col("resting") / db_rows).cast("int").alias("db_blocks")
+    query_blocks = F.ceil(F.col("queries") / query_rows).cast("int").alias("query_blocks")
+    sizes = stored(sizes.where("resting > 0").select(key, db_blocks, query_blocks), "sizes")
+    placed = routed.join(sizes, key)
+    db = F.pmod(F.xxhash64(row_id, F.lit(1)), F.col("db_blocks")).cast("int")
+    q = F.pmod(F.xxhash64(row_id, F.lit(2)), F.col("query_blocks")).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    resting = placed.where("home").withColumn("role", F.lit(True)).withColumn("db", db).withColumn("q", every("query_blocks"))
+    queries = placed.withColumn("role", F.lit(False)).withColumn("db", every("db_blocks")).withColumn("q", q)
+    return resting.unionByName(queries).drop("db_blocks", "query_blocks")

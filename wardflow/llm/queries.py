@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from wardflow.llm import mixing, oracle, packing, pii, quality, simhash, token_files
+from wardflow.llm import mixing, oracle, packing, pii, product_quantization, quality, simhash, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +35,11 @@ def op1_pii(spark, sf):
     return pii.find(docs, pii.train(docs))
 
 
+@query
+def op4_product_quantization(spark, sf):
+    return product_quantization.near_duplicates(spark.read.parquet(f"{sf}/embeddings.parquet"), cosine=0.9)
+
+
 @query
 def op5_token_files(spark, sf):
     back = token_files.tokens_round_trip(

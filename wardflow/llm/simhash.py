@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardflow.llm.common import bounded_sample, connected, free_name, local_stars, stored
+from wardflow.llm.common import block_pairs, bounded_sample, connected, free_name, local_stars, stored
 
 SLICE = 1 << 16
 DB_BLOCK, QUERY_BLOCK = 1024, 2048
@@ -127,33 +127,11 @@ def linked_pairs(classes: DataFrame, distance: int = 3, leaf_rows: int = 512, sa
                     )
 
     routed = stored(classes.select("fp").mapInArrow(route, "leaf long, home boolean, fp long"), "shards")
-    sizes = routed.groupBy("leaf").agg(F.count_if("home").alias("resting"), F.count("*").alias("queries"))
-    sizes = stored(
-        sizes.select(
-            "leaf",
-            F.ceil(F.col("resting") / DB_BLOCK).cast("int").alias("db_blocks"),
-            F.ceil(F.col("queries") / QUERY_BLOCK).cast("int").alias("query_blocks"),
-        ).where("db_blocks > 0"),
-        "shard-sizes",
-    )
-    # A shard with very many rows is compared block by block, each pair of blocks in a group of its own.
-    placed = routed.join(sizes, "leaf")
-    resting = placed.where("home").select(
-        "leaf", F.lit(True).alias("home"), "fp",
-        F.pmod(F.xxhash64("fp", F.lit(1)), F.col("db_blocks")).cast("int").alias("db"),
-        F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("q"),
-    )
-    queries = placed.select(
-        "leaf", F.lit(False).alias("home"), "fp",
-        F.explode(F.sequence(F.lit(0), F.col("db_blocks") - 1)).alias("db"),
-        F.pmod(F.xxhash64("fp", F.lit(2)), F.col("query_blocks")).cast("int").alias("q"),
-    )
-
     def compare(table: pa.Table) -> pa.Table:
         fps = table.column("fp").to_numpy().view(np.uint64)
-        home = table.column("home").to_numpy().astype(bool)
+        resting = table.column("role").to_numpy().astype(bool)
         nodes, index = np.unique(fps, return_inverse=True)
-        left, right = np.flatnonzero(home), np.flatnonzero(~home)
+        left, right = np.flatnonzero(resting), np.flatnonzero(~resting)
         i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for start in range(0, len(left), 256):
             rows = left[start : start + 256]
@@ -166,7 +144,9 @@ def linked_pairs(classes: DataFrame, distance: int = 3, leaf_rows: int = 512, sa
         signed = nodes.view(np.int64)
         return pa.table({"a": signed[bound], "b": signed[label[bound]]})
 
-    return resting.unionByName(queries).groupBy("leaf", "db", "q").applyInArrow(compare, "a long, b long")
+    # A shard with very many rows is compared block by block, each pair of blocks in a group of its own.
+    grouped = block_pairs(routed, "leaf", "fp", DB_BLOCK, QUERY_BLOCK).groupBy("leaf", "db", "q")
+    return grouped.applyInArrow(compare, "a long, b long")
 
 
 def fingerprint_components(prints: DataFrame, distance: int = 3) -> DataFrame:

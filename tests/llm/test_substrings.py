@@ -1,0 +1,80 @@
+"""Removed bytes against every window of every text."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+
+from tests.llm.helpers import awkward, docs_of, empty, with_clashes
+from wardflow.llm import substrings
+from wardflow.llm.queries import QUERIES, documents
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(texts, width=200):
+    texts = [(t or "").encode() for t in texts]
+    seen = Counter(t[k : k + width] for t in texts for k in range(len(t) - width + 1))
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - width + 1):
+            if seen[t[k : k + width]] > 1:
+                gone[k : k + width] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])) == 1)
+        kept = bytes(np.frombuffer(t, np.uint8)[~gone]) if len(t) else b""
+        out.append((len(t), int(gone.sum()), len(edges), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def result(df):
+    return sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in df.collect()), key=str)
+
+
+def test_cover_is_a_difference_cover():
+    shifts = {(a - b) % substrings.PERIOD for a in substrings.COVER for b in substrings.COVER}
+    assert shifts == set(range(substrings.PERIOD))
+
+
+def test_fingerprints_in_slices(monkeypatch):
+    data = np.frombuffer(b"abcabcabc" * 700 + b"xyz", np.uint8)
+    whole = np.concatenate([h for _, h in substrings.fingerprints(data, 150)])
+    monkeypatch.setattr(substrings, "SLICE", 500)
+    assert np.array_equal(whole, np.concatenate([h for _, h in substrings.fingerprints(data, 150)]))
+    windows = [bytes(data[k : k + 150]) for k in range(len(data) - 149)]
+    assert len(set(windows)) == len(set(whole.tolist())) and len(windows) == len(whole)
+
+
+def test_small_part_of_all_documents(spark):
+    rows = documents(spark, SF).select("doc_id", "text").collect()
+    want = [(r["doc_id"], *b) for r, b in zip(rows, brute([r["text"] for r in rows]))]
+    assert result(QUERIES["op7_repeated_substrings"](spark, SF)) == sorted(want, key=str)
+
+
+def planted():
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    base = [word(900) for _ in range(6)]
+    texts = []
+    for k in range(60):
+        a, b = base[rng.integers(6)], base[rng.integers(6)]
+        i, j, n, m = *rng.integers(0, 600, 2), *rng.integers(190, 300, 2)
+        texts.append(word(rng.integers(0, 150)) + a[i : i + n] + word(rng.integers(0, 80)) + b[j : j + m] + "é" * rng.integers(0, 3))
+    return texts + ["z" * 199, "y" * 200, "x" * 201, "ab" * 150, word(199), word(200)] + [base[0]] * 3 + [None, ""]
+
+
+def test_strings_of_every_shift(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 5000)
+    monkeypatch.setattr(substrings, "BUCKET_ITEMS", 50)
+    texts = planted()
+    want = sorted(((k, *b) for k, b in enumerate(brute(texts))), key=str)
+    assert result(substrings.remove_repeats(docs_of(spark, list(enumerate(texts))).repartition(3))) == want
+
+
+def test_awkward_rows(spark):
+    rows = awkward(spark).select("doc_id", "text").collect()
+    want = sorted(((r["doc_id"], *b) for r, b in zip(rows, brute([r["text"] for r in rows]))), key=str)
+    assert result(substrings.remove_repeats(with_clashes(awkward(spark)))) == want
+    assert substrings.remove_repeats(empty(spark)).count() == 0
+    short = docs_of(spark, [(1, "short"), (2, "short"), (3, None)])
+    assert [r[2] for r in result(substrings.remove_repeats(short))] == [0, 0, 0]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from wardflow.llm import mixing, oracle, packing, pii, product_quantization, quality, simhash, token_files
+from wardflow.llm import mixing, oracle, packing, pii, product_quantization, quality, simhash, substrings, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +56,11 @@ def op6_mixing(spark, sf):
 ORACLE["op6_mixing"] = oracle.mixing_sql(mixing.Mixture())
 
 
+@query
+def op7_repeated_substrings(spark, sf):
+    return substrings.remove_repeats(documents(spark, sf), width=200)
+
+
 @query
 def op8_packing(spark, sf):
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")

@@ -145,7 +145,7 @@ def write_tokens(docs: DataFrame, root: str, vocabulary: str, end_id: int = 1) -
         for batch in batches:
             if batch.num_rows and writer is None:
                 path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.zst"
-                out = store.open_output_stream(path)
+                out = store.open_output_stream(path, compression=None)
                 writer = ShardWriter(out)
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(vocabulary).encode(batch.column("text"))):
                 writer.add(doc_id, ids + end)

@@ -87,70 +87,90 @@ def best_fit(lengths: np.ndarray, limit: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, limit: int, widest: int = 64) -> list[list[int]]:
-    """Fewer bins, if moves and exchanges that increase the sum of squared fills can empty the least filled ones.
-
-    A step takes from the least filled bin a piece, or two, and gives back nothing, or one shorter piece, so the
-    other bin gains what the least filled one loses. Every step increases the sum, so the search ends. Bins of
-    more than ``widest`` pieces take moves and single exchanges only.
+class _Stock:
+    """The pieces of open bins by size, and the pairs of pieces of one bin by their joint size."""
+
+    def __init__(self, bins: list[list[int]], lengths: np.ndarray, widest: int) -> None:
+        self.bins, self.lengths, self.widest = bins, lengths, widest
+        self.at: dict[int, set[tuple[int, ...]]] = {}
+
+    def _entries(self, b: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+        own = self.bins[b]
+        for k, i in enumerate(own):
+            yield int(self.lengths[i]), (b, i)
+            if len(own) <= self.widest:
+                for j in own[:k]:
+                    yield int(self.lengths[i] + self.lengths[j]), (b, i, j)
+
+    def put(self, b: int) -> None:
+        for size, entry in self._entries(b):
+            self.at.setdefault(size, set()).add(entry)
+
+    def take(self, b: int) -> None:
+        for size, entry in self._entries(b):
+            held = self.at[size]
+            held.discard(entry)
+            if not held:
+                del self.at[size]
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, limit: int, widest: int = 12) -> list[list[int]]:
+    """Fewer bins by moves and exchanges that each increase the sum of squared fills.
+
+    From the fullest underfull bin on, each takes from a less filled one a piece or two and gives back nothing, a
+    piece or two (not two for two), so that it gains as much as it has room for. The least filled bins empty. Rounds
+    go on while they save a bin and there are more bins than the total, or the pieces over half a bin, must take. Bins of more than ``widest`` pieces
+    exchange single pieces only.
     """
-    fills = [int(lengths[b].sum()) for b in bins]
-    least = -(-sum(fills) // limit)
-    alive = len(bins)
-    while alive > least:
-        order = [k for k in np.argsort(fills, kind="stable").tolist() if 0 < fills[k] < limit]
-        if len(order) < 2:
-            break
-        victim, others = order[0], order[1:]
-        while bins[victim]:
-            step = _best_step(bins, fills, lengths, limit, victim, others, widest)
-            if step is None:
-                return [b for b in bins if b]
-            other, out, back = step
-            for i in out:
-                bins[victim].remove(i)
-            for i in back:
-                bins[other].remove(i)
-            bins[other].extend(out)
-            bins[victim].extend(back)
-            gain = int(lengths[out].sum() - (lengths[back].sum() if back else 0))
-            fills[other] += gain
-            fills[victim] -= gain
-        alive -= 1
-    return [b for b in bins if b]
-
-
-def _best_step(bins, fills, lengths, limit, victim, others, widest):
-    """(bin, pieces out of the victim, pieces back): the step that moves most into another bin; None if none fits."""
-    best, most = None, 0
-    mine = bins[victim]
-    groups = [([i], int(lengths[i])) for i in mine]
-    if len(mine) <= widest:
-        groups += [([i, j], int(lengths[i] + lengths[j])) for n, i in enumerate(mine) for j in mine[:n]]
-    groups.sort(key=lambda g: -g[1])
-    for other in others:
-        room = limit - fills[other]
-        if room <= most:
-            continue
-        theirs = [([], 0), *(([j], int(lengths[j])) for j in bins[other])]
-        theirs.sort(key=lambda g: g[1])
-        sizes = [g[1] for g in theirs]
-        for out, size in groups:
-            if size <= most:
-                break
-            at = bisect_left(sizes, size - room)  # the shortest piece whose exchange still fits
-            if at < len(sizes) and size - sizes[at] > most:
-                best, most = (other, out, theirs[at][0]), size - sizes[at]
-        if len(bins[other]) <= widest:
-            for n, i in enumerate(bins[other]):
-                for j in bins[other][:n]:
-                    back = int(lengths[i] + lengths[j])
-                    for out, size in groups:
-                        if most < size - back <= room and len(out) == 1:
-                            best, most = (other, out, [i, j]), size - back
-        if most == limit - fills[others[0]]:
-            break
-    return best
+    bins = [list(b) for b in bins]
+    inside = lengths[[i for b in bins for i in b]] if bins else lengths[:0]
+    least = max(-(-int(inside.sum()) // limit), int((2 * inside > limit).sum()))
+    while len(bins) > least:
+        fills = [int(lengths[b].sum()) for b in bins]
+        order = [b for b in np.argsort([-f for f in fills], kind="stable").tolist() if fills[b] < limit]
+        stock = _Stock(bins, lengths, widest)
+        for b in order:
+            stock.put(b)
+        for b in order:
+            stock.take(b)  # it no longer gives, so all that do are filled less
+            while bins[b] and fills[b] < limit:
+                step = _best_step(bins[b], lengths, limit - fills[b], stock, widest)
+                if step is None:
+                    break
+                back, (other, *out), gain = step
+                stock.take(other)
+                bins[other] = [i for i in bins[other] if i not in out] + list(back)
+                bins[b] = [i for i in bins[b] if i not in back] + list(out)
+                fills[b] += gain
+                fills[other] -= gain
+                stock.put(other)
+        left = [b for b in bins if b]
+        if len(left) == len(bins):
+            # What the open bins hold may fit better when dealt anew.
+            loose = [i for b, f in zip(bins, fills) if f < limit for i in b]
+            full = [b for b, f in zip(bins, fills) if f == limit]
+            again = full + [[loose[i] for i in b] for b in best_fit(lengths[loose], limit)]
+            return min(left, again, key=len)
+        bins = left
+    return bins
+
+
+def _best_step(own, lengths, room, stock, widest):
+    """(pieces back, (bin, pieces out), gain) with the largest gain up to ``room``; None if nothing gains."""
+    singles = [((), 0), *(((i,), int(lengths[i])) for i in own)]
+    pairs = []
+    if len(own) <= widest:
+        pairs = [((i, j), int(lengths[i] + lengths[j])) for k, i in enumerate(own) for j in own[:k]]
+    for gain in range(room, 0, -1):
+        for back, size in singles:
+            held = stock.at.get(size + gain)
+            if held:
+                return back, min(held), gain
+        for back, size in pairs:
+            one = next((e for e in stock.at.get(size + gain, ()) if len(e) == 2), None)
+            if one:
+                return back, one, gain
+    return None
 
 
 def pack(found: DataFrame, limit: int) -> DataFrame:

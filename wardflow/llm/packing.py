@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from wardflow.llm.common import spread, stored
 from wardflow.llm.tokens import encoder
 
-SHARD_PIECES = 20_000
+SHARD_PIECES = 40_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -177,8 +177,11 @@ def pack(found: DataFrame, limit: int) -> DataFrame:
     """``found`` (with a ``length`` of at most ``limit``) plus sequence_id and offset."""
     columns = found.columns
     rows = stored(found.withColumn("row_id", F.monotonically_increasing_id()), "pieces")
-    waiting = rows.select("row_id", F.col("length").cast("int").alias("size"))
-    shards, level, places = spread(rows.count(), SHARD_PIECES), 0, None
+    # A piece as long as a sequence is one by itself.
+    whole = F.col("length") >= limit
+    places = rows.where(whole).select("row_id", (-1 - F.col("row_id")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    waiting = rows.where(~whole).select("row_id", F.col("length").cast("int").alias("size"))
+    shards, level = spread(waiting.count(), SHARD_PIECES), 0
     while True:
         dealt = waiting.withColumn("shard", F.pmod(F.xxhash64("row_id", F.lit(level)), F.lit(shards)).cast("int"))
         packed = dealt.groupBy("shard").applyInPandas(
@@ -191,7 +194,7 @@ def pack(found: DataFrame, limit: int) -> DataFrame:
         last = shards == 1 or fewer > shards // 2
         number = F.lit(level << 56).cast("long") + F.col("shard").cast("long") * F.lit(1 << 24) + F.col("bin")
         final = (packed if last else packed.where("full")).select("row_id", number.alias("sequence_id"), "offset")
-        places = final if places is None else places.unionByName(final)
+        places = places.unionByName(final)
         if last:
             return rows.join(places, "row_id").select(*columns, "sequence_id", "offset")
         shards, level = fewer, level + 1

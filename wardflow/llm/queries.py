@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from wardflow.llm import mixing, oracle, packing, pii, product_quantization, quality, simhash, substrings, token_files
+from wardflow.llm import lm, mixing, oracle, packing, pii, product_quantization, quality, simhash, substrings
+from wardflow.llm import token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +36,17 @@ def op1_pii(spark, sf):
     return pii.find(docs, pii.train(docs))
 
 
+@query
+def op2_toxicity_chain(spark, sf):
+    docs = documents(spark, sf)
+    return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+
+
+@query
+def op3_cross_entropy_difference(spark, sf):
+    return lm.cross_entropy_difference(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
 @query
 def op4_product_quantization(spark, sf):
     return product_quantization.near_duplicates(spark.read.parquet(f"{sf}/embeddings.parquet"), cosine=0.9)

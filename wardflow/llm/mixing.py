@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wardflow.llm.common import free_name, stored
 
 STEPS, STEPS_PER_JOB = 32, 4
+PLAN_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -150,6 +151,14 @@ def block_plan(counted: DataFrame, mixture: Mixture) -> DataFrame:
     return stored(joined.select("source", "block", "epoch", "block_rank", "last_place"), "block-epochs")
 
 
+def _joinable(plan: DataFrame) -> DataFrame:
+    """The plan has a row per source, block and epoch, whatever the number of documents, so it is sent to them.
+
+    With so many sources that it has more than ``PLAN_ROWS`` rows, the join is left to Spark, which shuffles both.
+    """
+    return F.broadcast(plan) if plan.count() <= PLAN_ROWS else plan
+
+
 def _keyed(docs: DataFrame, mixture: Mixture, block: str) -> DataFrame:
     turned = _hashed(F.lit(mixture.seed), F.col("doc_id"))
     return docs.withColumn(block, F.substring(turned, 1, mixture.block_digits))
@@ -162,7 +171,7 @@ def mixed(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     """
     rows = docs.select("doc_id", "source", n_tokens(F.col("text")).alias("n_tokens"))
     counted = stored(_keyed(rows, mixture, "block"), "counted")
-    return _readings(counted, block_plan(counted, mixture), mixture, "block", ["n_tokens"])
+    return _readings(counted, _joinable(block_plan(counted, mixture)), mixture, "block", ["n_tokens"])
 
 
 def _readings(docs: DataFrame, plan: DataFrame, mixture: Mixture, block: str, also: list[str]) -> DataFrame:
@@ -182,7 +191,7 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     plan = block_plan(stored(_keyed(slim, mixture, "block"), "counted"), mixture)
     block = free_name(docs, "mixing_block")
     keyed = _keyed(docs, mixture, block)
-    plan = plan.withColumnsRenamed({c: f"{block}_{c}" for c in plan.columns})
+    plan = _joinable(plan.withColumnsRenamed({c: f"{block}_{c}" for c in plan.columns}))
     same = keyed["source"].eqNullSafe(plan[f"{block}_source"]) & (keyed[block] == plan[f"{block}_block"])
     last = plan[f"{block}_last_place"]
     place = _place(mixture, plan[f"{block}_epoch"], keyed["doc_id"])

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO, LONGEST = 400_000, 64
+MEMO, LONGEST = 250_000, 64
 SLICE_BYTES = 8 << 20
 # White space that the libraries at hand do not class alike, and the chunk mark itself.
 ODD = (

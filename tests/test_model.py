@@ -58,9 +58,12 @@ def test_one_class_has_no_auc(fitted):
 
 
 def test_roc_runs_from_corner_to_corner(fitted):
-    points = [tuple(r) for r in fitted.roc().collect()]
+    points = sorted(tuple(r) for r in fitted.roc().collect())
     assert points[0] == (0.0, 0.0) and points[-1] == (1.0, 1.0)
-    assert points == sorted(points)
+    assert [t for _, t in points] == sorted(t for _, t in points)
+    # every threshold has its point
+    scores = ml.score_patients(fitted.model, fitted.test).select("predicted_risk").distinct().count()
+    assert len(points) == scores + 1
 
 
 def test_coefficients_ascend(fitted):

@@ -51,10 +51,10 @@ def test_lookback_keeps_the_cutoff_and_the_future(spark):
     rows = vitals(spark, [("a", at(minutes=-30), "spo2", 1.0), ("a", at(-1801), "spo2", 2.0), ("a", at(60), "spo2", 3.0)])
     assert sorted(r.value for r in vt.since(rows, AS_OF, 30).collect()) == [1.0, 3.0]
     assert [r.value for r in vt.since(rows, AS_OF, 30, upper_bound=True).collect()] == [1.0]
-    # clamped to one minute and to one day
+    # at least one minute, and as far back as asked
     assert vt.since(rows, AS_OF, 0).count() == 1
     old = vitals(spark, [("a", at(days=-1), "spo2", 1.0), ("a", at(-86401), "spo2", 2.0)])
-    assert vt.since(old, AS_OF, 10**6).count() == 1
+    assert vt.since(old, AS_OF, 10**6).count() == 2
 
 
 def test_for_day_is_half_open(spark):
@@ -82,8 +82,37 @@ def test_newest_vitals_of_a_hot_patient(spark, splits):
     got = defaultdict(list)
     for r in vt.newest_vitals(df, 10_000, splits=splits).collect():
         got[r.patient_id].append(r.value)
-    assert sorted(got["hot"]) == [float(i) for i in range(500)]
-    assert sum(map(len, got.values())) == 500 + 700
+    assert sorted(got["hot"]) == [float(i) for i in range(1500)]
+    assert sum(map(len, got.values())) == 1500 + 700
+    assert vt.newest_vitals(df, 600, splits=splits).filter("patient_id = 'hot'").count() == 600
+    assert vt.newest_vitals(df, None, splits=splits).count() == 1500 + 700
+    # a request for one patient is brought into its span
+    assert vt.newest_vitals(df, 10_000, patient_id="hot").count() == 500
+
+
+def test_history_has_every_page(spark):
+    df = vitals(spark, [("p", at(-i), "spo2", float(i)) for i in range(700)])
+    for one in ({}, {"patient_id": "p", "metric_name": "spo2"}):
+        pages = [[r.value for r in vt.metric_history(df, 200, offset=o, **one).collect()] for o in (0, 400, 500, 600)]
+        assert [len(p) for p in pages] == [200, 200, 200, 100]
+        assert sorted(pages[3]) == [float(i) for i in range(600, 700)]
+
+
+def test_features_reach_back_as_far_as_asked(spark):
+    rows = vitals(spark, [("a", at(-36 * 3600), "spo2", 95.0), ("b", at(0), "lactate", 2.0)])
+    assert ft.patient_features(rows, AS_OF, hours=72).count() == 2
+    found = ft.patient_features(rows, AS_OF)
+    assert found.columns == ["patient_id", "lactate"] and ft.label_column(found) == "lactate"
+
+
+def test_the_last_arrival_of_a_batch_is_current(spark):
+    key = ["p", at(0), "heart_rate"]
+    rows = [(*key, 150.0, "bpm", 3, 7), (*key, 80.0, "bpm", 3, 9), (*key, 200.0, "bpm", 2, 50)]
+    raw = spark.createDataFrame(rows, "patient_id string, timestamp timestamp, metric_name string, value double, unit string, batch_id long, arrival long")
+    (kept,) = ingest.current_rows(raw).collect()
+    assert kept.value == 80.0 and "arrival" not in kept.asDict()
+    clean = raw.drop("batch_id", "arrival")
+    assert ingest.current_rows(clean) is clean
 
 
 def test_metric_history_pages(spark):
@@ -366,7 +395,8 @@ def test_features_fill_and_label(spark):
          ("c", at(0), "heart_rate", 90.0), ("c", at(days=-1), "spo2", 91.0), ("c", at(-86401), "spo2", 11.0), ("z", at(0), "spo2", 1.0)],
     )
     people = profiles(spark, ("a", None), ("b", None), ("c", None))
-    features = ft.patient_features(rows, AS_OF, profiles=people)
+    assert ft.patient_features(rows, AS_OF, profiles=people).columns == ["patient_id", "heart_rate", "spo2"]
+    features = ft.patient_features(rows, AS_OF, profiles=people, metrics=c.METRIC_NAMES)
     assert features.columns == ["patient_id", *sorted(c.METRIC_NAMES)]
     got = {r.patient_id: (r.heart_rate, r.spo2) for r in features.collect()}
     assert got == {"a": (70.0, 0.0), "b": (0.0, 95.0), "c": (90.0, 91.0)}

@@ -45,8 +45,11 @@ def test_an_empty_day_writes_nothing(spark, stored_vitals, tmp_path):
     assert tables.load_daily_summary(spark, target).count() == 1
 
 
-def test_a_missing_table_is_empty_but_other_errors_surface(spark, tmp_path):
-    assert tables.load_vitals(spark, str(tmp_path / "nothing")).count() == 0
+def test_a_missing_table_is_an_error_unless_said_otherwise(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tables.load_vitals(spark, str(tmp_path / "nothing"))
+    assert tables.load_vitals(spark, str(tmp_path / "nothing"), missing_ok=True).count() == 0
+    assert tables.load_alerts(spark, str(tmp_path / "nothing")).count() == 0
     with pytest.raises(Exception):
         tables.load_table(spark, str(tmp_path), "a int", fmt="no_such_format")
 
@@ -74,9 +77,20 @@ def test_risk_refresh_in_place(spark, tmp_path):
     assert got["a"].risk_score_updated_at == AS_OF and got["a"].contact_info.email == "e"
     assert (got["b"].risk_score, got["b"].risk_score_updated_at) == (0.7, None)
     assert got["c"].risk_score == 0.0
-    # the second run finds nothing to change
+    # a second run finds nothing to change and writes nothing, at the same time or later
     later = AS_OF + timedelta(seconds=1)
-    assert run_risk_refresh(spark, people, readings, root, later) == 0
+    for moment in (AS_OF, later):
+        assert run_risk_refresh(spark, people, readings, root, moment) == 0
+    assert len(glob.glob(f"{people}/{tables.SNAPSHOT}=*")) == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_risk_refresh(spark, people, f"{readings}-mistyped", root, AS_OF)
+
+
+def test_refresh_with_nobody_empties_the_table(spark, tmp_path):
+    people = str(tmp_path / "profiles")
+    tables.refresh_profiles(profiles(spark, ("a", 0.0)), people)
+    tables.refresh_profiles(profiles(spark, ("a", 0.0)).limit(0), people)
+    assert tables.load_profiles(spark, people).count() == 0
 
 
 def test_ranking_export(spark, tmp_path):

@@ -8,8 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.functions import columns as col, constants as c
-from wardflow.operators.ranking import top_n
-from wardflow.operators.vitals import since
+from wardflow.operators.vitals import newest_per_patient, since
 from wardflow.schemas import HEALTH_ALERTS, HEALTH_ALERTS_BY_DAY, HEALTH_ALERTS_BY_PATIENT
 
 
@@ -81,7 +80,7 @@ def recent_alerts(
     """
     limit = col.clamp(limit, 1, c.MAX_ALERTS)
     scan_limit = max(limit, min(int(scan_limit), c.MAX_ALERT_SCAN))
-    scan = since(alerts, as_of, since_minutes)
+    scan = since(alerts, as_of, col.clamp(since_minutes, 1, c.MINUTES_PER_DAY))
     if day_bounded:
         scan = scan.filter(F.col("day") == F.to_date(col.instant(as_of)))
     newest = scan.orderBy(*newest_first()).limit(scan_limit)
@@ -93,28 +92,38 @@ def patient_alerts(
     alerts: DataFrame,
     as_of: datetime | str,
     *,
-    limit: int = 50,
+    limit: int | None = 50,
     since_minutes: int = 60,
     patient_id: str | None = None,
     active_only: bool = False,
+    splits: int = 1,
 ) -> DataFrame:
-    """Recent alerts per patient: the newest ``limit`` rows, then the lookback.
+    """Recent alerts per patient: the newest ``limit`` rows (None: all), then the lookback.
+
+    Naming a patient is a request: the limit is brought into 1 to 200, the lookback into a day.
 
     Alerts of every status are returned; ``active_only`` filters after the limit. As in
     :func:`recent_alerts` the lookback is a prefix of the order and is applied first.
     """
-    limit = col.clamp(limit, 1, c.MAX_PATIENT_ALERTS)
+    if patient_id is not None:
+        since_minutes = col.clamp(since_minutes, 1, c.MINUTES_PER_DAY)
+        limit = col.clamp(c.MAX_PATIENT_ALERTS if limit is None else limit, 1, c.MAX_PATIENT_ALERTS)
     scan = since(alerts, as_of, since_minutes)
     if patient_id is not None:
         newest = scan.filter(F.col("patient_id") == patient_id).orderBy(*newest_first()).limit(limit)
     else:
-        newest = top_n(scan, ["patient_id"], newest_first(), limit)
+        newest = newest_per_patient(scan, newest_first(), limit, splits)
     return format_alerts(active_alerts(newest) if active_only else newest)
 
 
 def active_alert_counts(
-    alerts: DataFrame, as_of: datetime | str, *, minutes: int = c.RISK_MINUTES, cap: int = c.ALERT_COUNT_CAP
+    alerts: DataFrame,
+    as_of: datetime | str,
+    *,
+    minutes: int = c.RISK_MINUTES,
+    cap: int | None = c.ALERT_COUNT_CAP,
+    splits: int = 1,
 ) -> DataFrame:
-    """Active alerts per patient among the newest ``cap`` alerts, inside the lookback."""
-    newest = top_n(since(alerts, as_of, minutes), ["patient_id"], newest_first(), cap)
+    """Active alerts per patient among the newest ``cap`` alerts (None: all), inside the lookback."""
+    newest = newest_per_patient(since(alerts, as_of, minutes), newest_first(), cap, splits)
     return active_alerts(newest).groupBy("patient_id").agg(F.count("*").alias("active_alerts"))

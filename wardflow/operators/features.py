@@ -18,13 +18,18 @@ _SPLIT_SPACE = 16**13
 
 
 def wide_means(
-    vitals: DataFrame, *, metrics: Sequence[str] = c.METRIC_NAMES, fill: float | None = 0.0
+    vitals: DataFrame, *, metrics: Sequence[str] | None = None, fill: float | None = 0.0
 ) -> DataFrame:
     """Mean per patient and metric, one column per metric in name order; missing means ``fill``.
 
+    Without ``metrics`` every metric that was sent has its column; finding their names is one aggregate.
+
     Conditional averages need one exchange of one partial row per patient and map task, whereas a
     pivot aggregates twice.
     """
+    if metrics is None:
+        sent = vitals.where(F.col("metric_name").isNotNull()).select("metric_name").distinct()
+        metrics = [row["metric_name"] for row in sent.collect()]  # names of metrics, not readings
     usable = F.when(~F.isnan("value"), F.col("value"))
     means = [F.avg(F.when(F.col("metric_name") == m, usable)).alias(m) for m in sorted(metrics)]
     wide = vitals.filter(F.col("metric_name").isin(*metrics)).groupBy("patient_id").agg(*means)
@@ -37,10 +42,10 @@ def patient_features(
     *,
     profiles: DataFrame | None = None,
     hours: int = 24,
-    metrics: Sequence[str] = c.METRIC_NAMES,
+    metrics: Sequence[str] | None = None,
     fill: float | None = 0.0,
 ) -> DataFrame:
-    """Features of the last ``hours`` (24 at most), of known patients when ``profiles`` is given.
+    """Features of the last ``hours``, of known patients when ``profiles`` is given.
 
     The restriction to known patients follows the aggregation: the same rows, with one row per
     patient in the join.

@@ -50,6 +50,16 @@ def dedup_latest(
     return top_n(vitals, list(keys), order, 1)
 
 
+def current_rows(raw: DataFrame, keys: Sequence[str] = VITALS_KEY) -> DataFrame:
+    """One row per key of a table that the stream appends to: the last batch, and in it the last arrival.
+
+    A table without batches holds one row per key already. Filter by time first; what is filtered on is part of
+    the key, so the result is the same and fewer rows are compared.
+    """
+    arrivals = [a for a in ("batch_id", "arrival") if a in raw.columns]
+    return dedup_latest(raw, arrivals, keys).drop(*arrivals) if arrivals else raw
+
+
 def dedup_stream(vitals: DataFrame, delay: str, keys: Sequence[str] = VITALS_KEY) -> DataFrame:
     """Keep the first arrival per key on a stream, holding state for ``delay`` of event time.
 

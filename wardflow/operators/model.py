@@ -8,10 +8,11 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wardflow.functions import constants as c
 from wardflow.operators.features import LABEL
+from wardflow.session import ensure_checkpoint_dir
 
 FEATURES = tuple(sorted(c.METRIC_NAMES))
 _VECTOR = "features"
@@ -71,16 +72,48 @@ def roc_auc(scored: DataFrame, score: str = "rawPrediction") -> float | None:
     return evaluator.evaluate(scored)
 
 
-def model_metrics(model: LogisticRegressionModel, train: DataFrame, test: DataFrame) -> DataFrame:
+def model_metrics(
+    model: LogisticRegressionModel, train: DataFrame, test: DataFrame, features: Sequence[str] = FEATURES
+) -> DataFrame:
     """One row: ROC-AUC on the test rows, and the accuracy on both sides."""
-    scored = score_patients(model, test)
-    row = (roc_auc(scored), accuracy(score_patients(model, train)), accuracy(scored))
+    scored = score_patients(model, test, features)
+    row = (roc_auc(scored), accuracy(score_patients(model, train, features)), accuracy(scored))
     return train.sparkSession.createDataFrame([row], "auc double, train_accuracy double, test_accuracy double")
 
 
-def roc_points(model: LogisticRegressionModel, test: DataFrame) -> DataFrame:
-    """False and true positive rates along the thresholds (about a thousand points at most)."""
-    return model.evaluate(assemble(test)).roc.select(F.col("FPR").alias("fpr"), F.col("TPR").alias("tpr"))
+def roc_curve(scored: DataFrame, score: str) -> DataFrame:
+    """(threshold, fpr, tpr) at every distinct ``score``: the rates when it and all higher ones count as positive.
+
+    Counts run over range partitions of the scores, each from the sum of those before it, so no task sees them all.
+    A side without rows has null rates.
+    """
+    ensure_checkpoint_dir(scored.sparkSession)
+    counts = scored.groupBy(F.col(score).alias("threshold")).agg(
+        F.sum(F.col(LABEL)).cast("long").alias("positive"), F.sum(1 - F.col(LABEL)).cast("long").alias("negative")
+    )
+    # Checkpointed, as the numbers of the partitions must not change.
+    ranged = counts.repartitionByRange(F.desc("threshold")).withColumn("part", F.spark_partition_id()).checkpoint()
+    sums = ranged.groupBy("part").agg(F.sum("positive").alias("p"), F.sum("negative").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    everything = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sums = sums.select(
+        "part",
+        F.coalesce(F.sum("p").over(before), F.lit(0)).alias("p_before"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
+        F.sum("p").over(everything).alias("p_all"),
+        F.sum("n").over(everything).alias("n_all"),
+    )
+    inside = Window.partitionBy("part").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    running = ranged.withColumns({"p": F.sum("positive").over(inside), "n": F.sum("negative").over(inside)})
+    rate = lambda c: F.try_divide(F.col(f"{c}_before") + F.col(c), F.col(f"{c}_all"))
+    return running.join(sums, "part").select("threshold", rate("n").alias("fpr"), rate("p").alias("tpr"))
+
+
+def roc_points(model: LogisticRegressionModel, test: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """False and true positive rates at every threshold, from (0, 0) on."""
+    curve = roc_curve(score_patients(model, test, features), "predicted_risk").select("fpr", "tpr")
+    start = test.sparkSession.createDataFrame([(0.0, 0.0)], "fpr double, tpr double")
+    return start.unionByName(curve)
 
 
 def model_coefficients(

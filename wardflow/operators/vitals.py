@@ -39,12 +39,12 @@ def for_day(df: DataFrame, stat_date: date | str) -> DataFrame:
 
 
 def since(df: DataFrame, as_of: datetime | str, minutes: int, *, upper_bound: bool = False) -> DataFrame:
-    """Rows not older than ``minutes`` (1 to 1440) before ``as_of``; the cutoff itself counts.
+    """Rows not older than ``minutes`` (at least 1) before ``as_of``; the cutoff itself counts.
 
     Rows after ``as_of`` are kept unless ``upper_bound``. A ``day`` column, when present, is filtered
     too, so that a table partitioned by day reads only the partitions it needs.
     """
-    minutes = col.clamp(minutes, 1, c.MINUTES_PER_DAY)
+    minutes = max(1, int(minutes))
     now = col.instant(as_of)
     cutoff = now - F.make_dt_interval(mins=F.lit(minutes))
     out = df.filter(F.col("timestamp") >= cutoff)
@@ -71,13 +71,18 @@ def format_vitals(vitals: DataFrame, *, keep: tuple[str, ...] = ("patient_id",))
 
 
 def newest_vitals(
-    vitals: DataFrame, n: int = c.VITALS_CAP, *, patient_id: str | None = None, splits: int = DEFAULT_SPLITS
+    vitals: DataFrame, n: int | None = c.VITALS_CAP, *, patient_id: str | None = None, splits: int = DEFAULT_SPLITS
 ) -> DataFrame:
-    """Newest ``n`` (1 to 500) readings of each patient, or of one patient."""
-    n = col.clamp(n, 1, c.MAX_VITALS)
+    """Newest ``n`` readings of each patient (None: all), or of one patient (a request: 1 to 500)."""
     if patient_id is not None:
+        n = col.clamp(c.MAX_VITALS if n is None else n, 1, c.MAX_VITALS)
         return vitals.filter(F.col("patient_id") == patient_id).orderBy(*newest_first()).limit(n)
-    return top_n(vitals, ["patient_id"], newest_first(), n, splits=splits)
+    return newest_per_patient(vitals, newest_first(), n, splits)
+
+
+def newest_per_patient(df: DataFrame, order: list[Column], n: int | None, splits: int = 1) -> DataFrame:
+    """The first ``n`` (at least 1) rows of each patient; None keeps all."""
+    return df if n is None else top_n(df, ["patient_id"], order, max(1, int(n)), splits=splits)
 
 
 def metric_history(
@@ -89,32 +94,40 @@ def metric_history(
     metric_name: str | None = None,
     splits: int = DEFAULT_SPLITS,
 ) -> DataFrame:
-    """Newest ``n`` readings per patient and metric after skipping ``offset``; 500 deep at most."""
-    n = col.clamp(n, 1, c.MAX_VITALS)
+    """Newest ``n`` readings per patient and metric after skipping ``offset``, however deep.
+
+    A page of one patient's metric is a request and holds at most 500 readings.
+    """
+    one = patient_id is not None and metric_name is not None
+    n = col.clamp(n, 1, c.MAX_VITALS) if one else max(1, int(n))
     offset = max(0, int(offset))
-    last = min(offset + n, c.MAX_VITALS)
+    last = offset + n
     if patient_id is not None:
         vitals = vitals.filter(F.col("patient_id") == patient_id)
     if metric_name is not None:
         vitals = vitals.filter(F.col("metric_name") == metric_name)
-    if patient_id is not None and metric_name is not None:
+    if one:
         return vitals.orderBy(F.col("timestamp").desc()).limit(last).offset(offset)
     keys = ["patient_id", "metric_name"]
     return top_n(vitals, keys, [F.col("timestamp").desc()], last, first=offset + 1, splits=splits)
 
 
 def latest_readings(
-    vitals: DataFrame, as_of: datetime | str, *, minutes: int = c.RISK_MINUTES, cap: int = c.VITALS_CAP
+    vitals: DataFrame,
+    as_of: datetime | str,
+    *,
+    minutes: int = c.RISK_MINUTES,
+    cap: int | None = c.VITALS_CAP,
+    splits: int = 1,
 ) -> DataFrame:
     """Latest numeric reading per patient and configured metric inside the lookback.
 
-    Only the newest ``cap`` readings of a patient count, over all metrics. The lookback is a prefix
+    Only the newest ``cap`` readings of a patient count, over all metrics (None: all count). The lookback is a prefix
     of the newest-first order, so it is applied before the cap and reaches the scan; readings
     without a value are skipped after it. Everything past the ranking groups by patient, so the
     ranking's exchange serves it too.
     """
-    cap = col.clamp(cap, 1, c.MAX_VITALS)
-    capped = top_n(since(vitals, as_of, minutes), ["patient_id"], newest_first(), cap)
+    capped = newest_per_patient(since(vitals, as_of, minutes), newest_first(), cap, splits)
     numeric = capped.filter(F.col("value").isNotNull() & F.col("metric_name").isin(*c.METRIC_NAMES))
     return numeric.groupBy("patient_id", "metric_name").agg(
         F.max_by("value", "timestamp").alias("value"),

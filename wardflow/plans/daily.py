@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
+from wardflow.operators.ingest import current_rows
 from wardflow.operators.summary import daily_summary
 from wardflow.operators.vitals import for_day
 from wardflow.sources import tables
@@ -15,8 +16,9 @@ def run_daily_summary(
     spark: SparkSession, source: str, target: str, stat_date: date | str, fmt: str = "parquet"
 ) -> bool:
     """Summarise one day into ``target``; False, and nothing written, when the day has no vitals."""
-    vitals = tables.load_vitals(spark, source, fmt)
-    if for_day(vitals, stat_date).isEmpty():
+    vitals = for_day(tables.load_vitals(spark, source, fmt), stat_date)
+    if vitals.isEmpty():
         return False
+    vitals = current_rows(vitals)  # a reading that was sent again counts once
     tables.write_daily_summary(daily_summary(vitals, stat_date), target)
     return True

@@ -18,18 +18,19 @@ class RiskModel:
     labelled: DataFrame
     train: DataFrame
     test: DataFrame
+    features: tuple[str, ...]
 
     def ranking(self) -> DataFrame:
-        return ml.risk_ranking(ml.score_patients(self.model, self.labelled))
+        return ml.risk_ranking(ml.score_patients(self.model, self.labelled, self.features))
 
     def metrics(self) -> DataFrame:
-        return ml.model_metrics(self.model, self.train, self.test)
+        return ml.model_metrics(self.model, self.train, self.test, self.features)
 
     def roc(self) -> DataFrame:
-        return ml.roc_points(self.model, self.test)
+        return ml.roc_points(self.model, self.test, self.features)
 
     def coefficients(self) -> DataFrame:
-        return ml.model_coefficients(self.labelled.sparkSession, self.model)
+        return ml.model_coefficients(self.labelled.sparkSession, self.model, self.features)
 
 
 def labelled_features(vitals: DataFrame, profiles: DataFrame, as_of: datetime | str) -> DataFrame:
@@ -49,4 +50,5 @@ def fit_risk_model(
     """Train on a part of the patients; the result ranks and evaluates on demand."""
     labelled = labelled_features(vitals, profiles, as_of)
     train, test = ft.split(labelled, train_share, seed, exact=True)
-    return RiskModel(ml.train_risk_model(train), labelled, train, test)
+    features = tuple(sorted(c for c in labelled.columns if c not in ("patient_id", ft.LABEL)))
+    return RiskModel(ml.train_risk_model(train, features), labelled, train, test, features)

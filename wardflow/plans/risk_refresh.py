@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.functions import columns as col, constants as c
+from wardflow.functions import constants as c
+from wardflow.operators import ingest
 from wardflow.operators.profiles import apply_patches, risk_patches
 from wardflow.operators.risk import changed_risk, risk_scores
+from wardflow.operators.vitals import since
+from wardflow.session import ensure_checkpoint_dir
 from wardflow.sources import tables
 
 
@@ -23,11 +26,18 @@ def refreshed_profiles(
 def run_risk_refresh(
     spark: SparkSession, profiles_path: str, vitals_path: str, alerts_root: str, as_of: datetime | str
 ) -> int:
-    """Store the refreshed profiles as the table's next snapshot; the number of profiles updated."""
+    """Store the refreshed profiles as the table's next snapshot; the number of profiles updated.
+
+    Nothing is written if no score has changed, so running the job again gives 0. Readings and alerts that
+    the stream stored more than once count once.
+    """
     profiles = tables.load_profiles(spark, profiles_path)
-    vitals = tables.load_vitals(spark, vitals_path)
-    alerts = tables.load_alerts_by_patient(spark, alerts_root)
-    tables.refresh_profiles(refreshed_profiles(profiles, vitals, alerts, as_of), profiles_path)
-    stored = tables.load_profiles(spark, profiles_path)
-    now = F.col("risk_score_updated_at") == col.instant(as_of)
-    return stored.filter(now & (F.col("risk_score_source") == c.RISK_SOURCE)).count()
+    vitals = ingest.current_rows(since(tables.load_vitals(spark, vitals_path), as_of, c.RISK_MINUTES))
+    alerts = since(tables.load_alerts_by_patient(spark, alerts_root), as_of, c.RISK_MINUTES)
+    alerts = ingest.current_rows(alerts, keys=["alert_id"])
+    ensure_checkpoint_dir(spark)
+    changed = changed_risk(risk_scores(profiles, vitals, alerts, as_of), profiles).checkpoint()
+    updated = changed.count()
+    if updated:
+        tables.refresh_profiles(apply_patches(profiles, risk_patches(changed, as_of)), profiles_path)
+    return updated

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from wardflow import schemas
 
@@ -21,19 +21,34 @@ SNAPSHOT = "snapshot"
 
 
 def load_table(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", options: Mapping | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    fmt: str = "parquet",
+    options: Mapping | None = None,
+    *,
+    missing_ok: bool = False,
 ) -> DataFrame:
-    """Read a table of any batch format; a path nothing was written to yet is an empty table."""
+    """Read a table of any batch format.
+
+    A path that does not exist is an error; with ``missing_ok`` it is an empty table, which is right only for what
+    the stream has perhaps not written yet.
+    """
     try:
         return spark.read.format(fmt).schema(schema).options(**(options or {})).load(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def load_vitals(spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping | None = None) -> DataFrame:
-    return load_table(spark, path, schemas.PATIENT_VITALS, fmt, options)
+def load_vitals(
+    spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping | None = None, *, missing_ok: bool = False
+) -> DataFrame:
+    """Readings, clean or as the stream appended them (then with ``batch_id`` and ``arrival``)."""
+    schema = StructType([*schemas.PATIENT_VITALS.fields, StructField("arrival", LongType())])
+    vitals = load_table(spark, path, schema, fmt, options, missing_ok=missing_ok)
+    return vitals if "batch_id" in vitals.columns else vitals.drop("arrival")
 
 
 def load_profiles(spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping | None = None) -> DataFrame:
@@ -46,11 +61,11 @@ def load_profiles(spark: SparkSession, path: str, fmt: str = "parquet", options:
 
 
 def load_alerts(spark: SparkSession, root: str) -> DataFrame:
-    return load_table(spark, f"{root}/{ALERTS}", schemas.HEALTH_ALERTS)
+    return load_table(spark, f"{root}/{ALERTS}", schemas.HEALTH_ALERTS, missing_ok=True)
 
 
 def load_alerts_by_day(spark: SparkSession, root: str) -> DataFrame:
-    return load_table(spark, f"{root}/{ALERTS_BY_DAY}", schemas.HEALTH_ALERTS_BY_DAY)
+    return load_table(spark, f"{root}/{ALERTS_BY_DAY}", schemas.HEALTH_ALERTS_BY_DAY, missing_ok=True)
 
 
 def patient_bucket(patient: Column, buckets: int = PATIENT_BUCKETS) -> Column:
@@ -61,7 +76,7 @@ def load_alerts_by_patient(
     spark: SparkSession, root: str, patient_id: str | None = None, buckets: int = PATIENT_BUCKETS
 ) -> DataFrame:
     """Alerts laid out by patient; naming one patient reads only that patient's bucket."""
-    alerts = load_table(spark, f"{root}/{ALERTS_BY_PATIENT}", schemas.HEALTH_ALERTS_BY_PATIENT)
+    alerts = load_table(spark, f"{root}/{ALERTS_BY_PATIENT}", schemas.HEALTH_ALERTS_BY_PATIENT, missing_ok=True)
     if patient_id is None:
         return alerts
     alerts = alerts.filter(F.col("patient_id") == patient_id)
@@ -86,18 +101,22 @@ def write_daily_summary(summary: DataFrame, path: str) -> None:
 
 
 def load_daily_summary(spark: SparkSession, path: str) -> DataFrame:
-    return load_table(spark, path, schemas.DAILY_HEALTH_SUMMARY)
+    return load_table(spark, path, schemas.DAILY_HEALTH_SUMMARY, missing_ok=True)
 
 
 def refresh_profiles(profiles: DataFrame, path: str) -> None:
     """Replace all profiles by writing the next snapshot; readers take the newest one.
 
     ``profiles`` may be computed from the table itself: the snapshot it reads stays in place, so a
-    job that fails half-way leaves the table as it was. Old snapshots can be deleted at any time.
+    job that fails half-way leaves the table as it was. Old snapshots can be deleted at any time. No
+    profiles at all leave an empty table.
     """
     spark = profiles.sparkSession
-    stored = load_table(spark, path, schemas.PATIENT_PROFILES)
+    stored = load_table(spark, path, schemas.PATIENT_PROFILES, missing_ok=True)
     newest = stored.agg(F.max(SNAPSHOT)).first()[0] if SNAPSHOT in stored.columns else None
+    if profiles.isEmpty():
+        profiles.select(*schemas.PATIENT_PROFILES.names).write.mode("overwrite").parquet(path)
+        return
     numbered = profiles.select(*schemas.PATIENT_PROFILES.names, F.lit((newest or 0) + 1).alias(SNAPSHOT))
     write_partitions(numbered, path, SNAPSHOT)
 

@@ -13,16 +13,15 @@ from wardflow.operators import alerts as al, ingest
 from wardflow.sources import tables
 
 RAW = "raw_message"
-ALERT_FILES = 8
 
 
-def spread(found: DataFrame, *partitions: str, files: int) -> DataFrame:
-    """Gather rows for a partitioned write: each partition is written by ``files`` tasks at most.
+def gathered(found: DataFrame, *partitions: str) -> DataFrame:
+    """Rows brought together for a partitioned write, by their bytes: small partitions make few files.
 
-    Alerts are few, and without this every task would add a small file to every bucket. The hash of
-    the alert id splits a hot patient's bucket evenly.
+    Without this every task would add a small file to every bucket. Adaptive execution joins small parts and
+    splits a large one, such as a hot patient's bucket, so the number of tasks follows the data.
     """
-    return found.repartition(*partitions, F.pmod(F.xxhash64("alert_id"), F.lit(files)))
+    return found.hint("rebalance", *partitions)
 
 
 def write_micro_batch(
@@ -31,31 +30,34 @@ def write_micro_batch(
     root: str,
     *,
     buckets: int = tables.PATIENT_BUCKETS,
-    alert_files: int = ALERT_FILES,
     keep: Sequence[str] = (),
 ) -> None:
     """Write one decoded micro-batch to all tables.
 
     The batch id is a partition of every table and is overwritten as a whole, so a batch that is
-    replayed after a failure leaves the same rows. The vitals are not shuffled.
+    replayed after a failure leaves the same rows. The vitals are not shuffled. ``arrival`` keeps the order in
+    which the source gave them: readings of one key come from one partition of it, in order.
     """
-    held = batch.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).persist(StorageLevel.MEMORY_AND_DISK)
+    held = batch.withColumns(
+        {"batch_id": F.lit(int(batch_id)).cast("long"), "arrival": F.monotonically_increasing_id()}
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, bad = ingest.split_bad_records(held)
-        vitals = good.select(*schemas.PATIENT_VITALS.names, *keep, F.to_date("timestamp").alias("day"), "batch_id")
+        own = [*schemas.PATIENT_VITALS.names, "arrival", *keep]
+        vitals = good.select(*own, F.to_date("timestamp").alias("day"), "batch_id")
         tables.write_partitions(vitals, f"{root}/{tables.VITALS}", "day", "batch_id")
 
         found = al.classify_alerts(good)
         base = found.select(*schemas.HEALTH_ALERTS.names, "batch_id")
-        tables.write_partitions(spread(base, files=alert_files), f"{root}/{tables.ALERTS}", "batch_id")
+        tables.write_partitions(gathered(base), f"{root}/{tables.ALERTS}", "batch_id")
         by_day = found.select(*schemas.HEALTH_ALERTS_BY_DAY.names, "batch_id")
         tables.write_partitions(
-            spread(by_day, "day", files=alert_files), f"{root}/{tables.ALERTS_BY_DAY}", "day", "batch_id"
+            gathered(by_day, "day"), f"{root}/{tables.ALERTS_BY_DAY}", "day", "batch_id"
         )
         bucket = tables.patient_bucket(F.col("patient_id"), buckets).alias("patient_bucket")
         by_patient = found.select(*schemas.HEALTH_ALERTS_BY_PATIENT.names, bucket, "batch_id")
         tables.write_partitions(
-            spread(by_patient, "patient_bucket", files=alert_files),
+            gathered(by_patient, "patient_bucket"),
             f"{root}/{tables.ALERTS_BY_PATIENT}",
             "patient_bucket",
             "batch_id",
@@ -87,7 +89,6 @@ def start_vitals_stream(
     checkpoint: str | None = None,
     dedup_delay: str | None = None,
     buckets: int = tables.PATIENT_BUCKETS,
-    alert_files: int = ALERT_FILES,
     keep: Sequence[str] = (),
 ) -> StreamingQuery:
     """Start the ingest query; the caller awaits it, and its failure ends that wait.
@@ -97,7 +98,7 @@ def start_vitals_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_micro_batch(batch, batch_id, root, buckets=buckets, alert_files=alert_files, keep=keep)
+        write_micro_batch(batch, batch_id, root, buckets=buckets, keep=keep)
 
     stream = decoded_stream(envelopes, dedup_delay=dedup_delay, keep=keep)
     where = checkpoint or f"{root}/_checkpoint"
@@ -108,16 +109,16 @@ def start_vitals_stream(
 def compact_vitals(spark: SparkSession, root: str, *days: str) -> None:
     """Fold the ingest batches of some days into one clean row per reading.
 
-    The last batch wins. Files are laid out by range of patient and time, which splits a hot patient
+    The last batch wins, and in a batch the last arrival. Files are laid out by range of patient and time, which splits a hot patient
     over several files and lets a read of one patient skip the others by their statistics.
     """
-    vitals = tables.load_vitals(spark, f"{root}/{tables.VITALS}")
+    vitals = tables.load_vitals(spark, f"{root}/{tables.VITALS}", missing_ok=True)
     if "batch_id" not in vitals.columns:
         return
     if days:
         vitals = vitals.filter(F.col("day").isin(*[F.lit(d).cast("date") for d in days]))
     clean = (
-        ingest.dedup_latest(vitals, "batch_id")
+        ingest.current_rows(vitals)
         .select(*schemas.PATIENT_VITALS.names, "day")
         .repartitionByRange("day", "patient_id", "timestamp")
         .sortWithinPartitions("day", "patient_id", F.col("timestamp").desc(), "metric_name")

@@ -59,6 +59,13 @@ READABLE = """readable AS (
   SELECT *, event_id % 97 AS turn FROM vitals
 )"""
 
+# Every 50th reading was sent again with a smaller value; damaged messages are not stored.
+CORRECTED = VITALS.replace(
+    "value / 100.0::DOUBLE - 0.1::DOUBLE AS k FROM events",
+    "(value - CASE event_id % 50 WHEN 0 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END) / 100.0::DOUBLE - 0.1::DOUBLE AS k"
+    " FROM events WHERE event_id % 97 NOT IN (1, 2, 3)",
+)
+
 AS_OF = "TIMESTAMP '2024-01-02 12:00:00'"
 TEXT_T = "strftime(t, '%Y-%m-%d %H:%M:%S')"
 
@@ -391,9 +398,49 @@ FROM profiles LEFT JOIN patched USING (patient_id)""",
     "stream_quarantine": with_tables(
         VITALS,
         READABLE,
-        """SELECT left(CASE turn WHEN 1 THEN '{"metric_name":"' || metric_name
-  ELSE '{"patient_id":"' || patient_id END || '","metric_name":', 20) AS message_head
+        """SELECT CASE turn WHEN 3 THEN left('{"patient_id":"' || patient_id, 20) END AS cut_text,
+  CASE turn WHEN 2 THEN patient_id END AS patient_id, CASE WHEN turn < 3 THEN metric_name END AS metric_name,
+  CASE WHEN turn < 3 THEN round(value, 6) END AS value, CASE WHEN turn < 3 THEN unit END AS unit,
+  CASE turn WHEN 1 THEN strftime(t, '%Y-%m-%d %H:%M:%S') WHEN 2 THEN 'not a time' END AS "timestamp"
 FROM readable WHERE turn IN (1, 2, 3)""",
+    ),
+    "compacted_vitals_corrected": with_tables(CORRECTED, f"SELECT {VITALS_OUT} FROM vitals"),
+    "live_daily_summary": with_tables(CORRECTED, SUMMARY, f"SELECT {SUMMARY_OUT} FROM summary"),
+    "patient_vitals_one": with_tables(
+        VITALS,
+        f"""SELECT {VITALS_OUT} FROM {newest('vitals', 'patient_id', 't DESC, metric_name')}
+WHERE rn <= 30 AND patient_id = 'P-000007'""",
+    ),
+    "metric_history_one": with_tables(
+        VITALS,
+        f"""SELECT {VITALS_OUT} FROM {newest('vitals', 'patient_id, metric_name', 't DESC')}
+WHERE rn BETWEEN 3 AND 6 AND patient_id = 'P-000007' AND metric_name = 'spo2'""",
+    ),
+    "profile_one": with_tables(PROFILES, f"SELECT {PROFILE_OUT} FROM profiles WHERE patient_id = 'P-000007'"),
+    "patient_features_72h": with_tables(
+        VITALS,
+        PROFILES,
+        FEATURES.replace("t >= TIMESTAMP '2024-01-01 12:00:00' AND ", ""),
+        """SELECT patient_id, round(bp_diastolic, 8) AS bp_diastolic, round(bp_systolic, 8) AS bp_systolic,
+  round(heart_rate, 8) AS heart_rate, round(respiratory_rate, 8) AS respiratory_rate, round(spo2, 8) AS spo2,
+  round(temperature, 8) AS temperature FROM features""",
+    ),
+    "high_risk_labels_fallback": with_tables(
+        VITALS,
+        PROFILES,
+        FEATURES.replace("WHERE t >=", "WHERE metric_name <> 'heart_rate' AND t >="),
+        LABELLED.replace("heart_rate", "bp_diastolic"),
+        "SELECT patient_id, round(bp_diastolic, 8) AS bp_diastolic, high_risk FROM labelled",
+    ),
+    "roc_points_of_feature": with_tables(
+        VITALS,
+        PROFILES,
+        FEATURES,
+        LABELLED,
+        """SELECT DISTINCT round(spo2, 8) AS threshold,
+  round(sum(1 - high_risk) OVER w / sum(1 - high_risk) OVER (), 8) AS fpr,
+  round(sum(high_risk) OVER w / sum(high_risk) OVER (), 8) AS tpr
+FROM labelled WINDOW w AS (ORDER BY spo2 DESC RANGE UNBOUNDED PRECEDING)""",
     ),
     "stream_dedup": KEPT,
     "compacted_vitals": KEPT,

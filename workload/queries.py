@@ -183,6 +183,25 @@ def newest_vitals(spark, sf):
     return shown(vt.format_vitals(vt.newest_vitals(fx.vitals(spark, sf), 20)), "value")
 
 
+ONE_PATIENT = "P-000007"
+
+
+@query
+def patient_vitals_one(spark, sf):
+    return shown(vt.format_vitals(vt.newest_vitals(fx.vitals(spark, sf), 30, patient_id=ONE_PATIENT)), "value")
+
+
+@query
+def metric_history_one(spark, sf):
+    one = {"patient_id": ONE_PATIENT, "metric_name": "spo2"}
+    return shown(vt.format_vitals(vt.metric_history(fx.vitals(spark, sf), 4, offset=2, **one)), "value")
+
+
+@query
+def profile_one(spark, sf):
+    return shown(flat(pr.profile_of(fx.profiles(spark, sf), ONE_PATIENT)), "risk_score", digits=9)
+
+
 @query
 def metric_history(spark, sf):
     return shown(vt.format_vitals(vt.metric_history(fx.vitals(spark, sf), 5)), "value")
@@ -332,7 +351,11 @@ def stream_alerts_by_patient(spark, sf):
 def stream_quarantine(spark, sf):
     path = f"{_ingested(spark, sf)}/{tables.QUARANTINE}"
     rejects = spark.read.schema(f"{RAW} string, batch_id long").parquet(path)
-    return rejects.select(F.substring(RAW, 1, 20).alias("message_head"))
+    # The text of a number differs between engines, so whole messages are compared by their fields.
+    fields = F.from_json(RAW, schemas.MESSAGE)
+    whole = F.endswith(RAW, F.lit("}"))
+    named = [F.when(whole, fields[name]).alias(name) for name in schemas.MESSAGE.names]
+    return shown(rejects.select(F.when(~whole, F.col(RAW)).alias("cut_text"), *named), "value")
 
 
 @query
@@ -350,6 +373,30 @@ def compacted_vitals(spark, sf):
     return shown(vt.format_vitals(tables.load_vitals(spark, f"{root}/{tables.VITALS_CLEAN}")), "value")
 
 
+def _corrected(spark, sf) -> str:
+    """Every 50th reading is sent again in the same batch, later and with a smaller value."""
+    root = new_work_dir(spark, "corrected")
+    events = fx.event_stream(spark, sf)
+    again = events.filter(F.col("event_id") % 50 == 0).withColumn("value", F.col("value") - 100.0)
+    messages = fx.messages_of(events.unionByName(again))
+    start_vitals_stream(messages, root, trigger={"availableNow": True}).awaitTermination()
+    return root
+
+
+@query
+def compacted_vitals_corrected(spark, sf):
+    root = _corrected(spark, sf)
+    compact_vitals(spark, root)
+    return shown(vt.format_vitals(tables.load_vitals(spark, f"{root}/{tables.VITALS_CLEAN}")), "value")
+
+
+@query
+def live_daily_summary(spark, sf):
+    """Summary of the table the stream appends to, where corrected readings stand twice."""
+    raw = tables.load_vitals(spark, f"{_corrected(spark, sf)}/{tables.VITALS}")
+    return shown(sm.daily_summary(ingest.current_rows(raw)), *MEASURES)
+
+
 # Features and the risk model
 
 
@@ -368,6 +415,26 @@ def high_risk_labels(spark, sf):
     return shown(labelled, "heart_rate", digits=8)
 
 
+@query
+def patient_features_72h(spark, sf):
+    found = ft.patient_features(fx.vitals(spark, sf), fx.AS_OF, profiles=fx.profiles(spark, sf), hours=72)
+    return shown(found, *ml.FEATURES, digits=8)
+
+
+@query
+def high_risk_labels_fallback(spark, sf):
+    """No heart rates were sent, so the first other metric decides."""
+    sent = fx.vitals(spark, sf).filter("metric_name <> 'heart_rate'")
+    features = ft.patient_features(sent, fx.AS_OF, profiles=fx.profiles(spark, sf))
+    return shown(ft.label_high_risk(features).select("patient_id", "bp_diastolic", ft.LABEL), "bp_diastolic", digits=8)
+
+
+@query
+def roc_points_of_feature(spark, sf):
+    labelled = ft.label_high_risk(_features(spark, sf))
+    return shown(ml.roc_curve(labelled, "spo2"), "threshold", "fpr", "tpr", digits=8)
+
+
 @query
 def label_distribution(spark, sf):
     return ft.label_distribution(ft.label_high_risk(_features(spark, sf)))

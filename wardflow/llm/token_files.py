@@ -40,7 +40,7 @@ from wardflow.session import new_work_dir
 INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 FRAME_BYTES = 256 << 10
-LEVEL = 3
+LEVEL = 1
 MANIFEST = "shard int, path string, n_docs long, n_tokens long, n_frames long, first_id long, last_id long"
 
 

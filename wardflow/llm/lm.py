@@ -126,7 +126,8 @@ class Models:
 
 def count_models(docs: DataFrame, good: DataFrame, shape: Shape = Shape()) -> Models | None:
     """Both models from all of ``docs``; those whose id is in ``good`` (doc_id) are the target too."""
-    good = good.select(F.col("doc_id").alias("good_id"), F.lit(True).alias("good"))
+    # There may be as many labels as documents, so both sides are shuffled, few labels or many.
+    good = good.select(F.col("doc_id").alias("good_id"), F.lit(True).alias("good")).hint("merge")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     rows = rows.join(good, rows["doc_id"] == good["good_id"], "left")
     rows = rows.select(word_hashes(F.col("text")).alias("words"), F.coalesce("good", F.lit(False)).alias("good"))

@@ -64,7 +64,7 @@ def _scale(offsets: np.ndarray) -> np.ndarray:
     return 1 / np.sqrt(np.maximum(1, np.diff(offsets)))
 
 
-def fit_linear(flat, offsets, earlier, label, bits: int, rounds: int = 150, penalty: float = 1e-5, rate: float = 0.2) -> Linear:
+def fit_linear(flat, offsets, earlier, label, bits: int, rounds: int = 100, penalty: float = 1e-5, rate: float = 0.2) -> Linear:
     """Penalised logistic loss by full-batch steps with a rate per weight (Adam).
 
     A cell enters with its log ratio of document frequencies between the classes, so the penalty spares what tells
@@ -142,7 +142,7 @@ def _with_categories(rows: DataFrame, terms: int = 200) -> DataFrame:
     return rows.select("doc_id", "cells", "toxic", persistent.cast("double").alias("persistent"), severe.cast("double").alias("severe"))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 1500, bits: int = 16) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 800, bits: int = 16) -> Chain:
     """Fit the chain; it has no models where the labels have fewer than two classes."""
     rows = stored(labelled(docs, labels, sample_rows, bits), "labelled")
     data = _with_categories(rows).toPandas().sort_values("doc_id", ignore_index=True)

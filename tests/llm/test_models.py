@@ -80,6 +80,18 @@ def test_scores_of_documents(spark, monkeypatch):
     assert all(math.isclose(r["ce_difference"], r["ce_target"] - r["ce_background"], abs_tol=1e-9) for r in got.collect() if r["n_tokens"])
 
 
+def test_scores_keep_every_word_apart(spark, monkeypatch):
+    """More words and pairs than any small table has cells, in many blocks, against counts of the words themselves."""
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 40_000)
+    monkeypatch.setattr(lm, "BLOCK_CELLS", 1 << 14)
+    rng = np.random.default_rng(6)
+    rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, 400_000, 1500)) + " the end" * (k % 3)) for k in range(300)]
+    good = set(range(0, 300, 4))
+    labels = spark.createDataFrame([(k, 1, 0) for k in good], LABELS)
+    got = lm.cross_entropy_difference(docs_of(spark, rows).repartition(3), labels)
+    same(scored(got), brute_scores(rows, good, lm.Shape(word_bits=64, pair_bits=64)))
+
+
 def test_scores_tell_quality(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     rows = lm.cross_entropy_difference(documents(spark, "/root/testdata/sf0.01"), labels).join(labels, "doc_id").collect()

@@ -1,15 +1,16 @@
 """Cross-entropy difference: bigram models of a target and of the whole corpus score every document.
 
-Words are white-space runs in lower case, hashed into one vocabulary of ``2 ** word_bits`` cells that both models
-share, and their pairs into ``2 ** pair_bits`` cells. Both models have the same form: pairs smoothed towards single
-words, those towards equal shares of the cells in use. The models are matched in size: the corpus counts are scaled
-to as many words as the target has, which is what a sample of that size would hold on average. A document's score
-is its mean loss per word under the target less that under the corpus; low scores are most like the target.
-
-Counts cover every word of every document. A task counts its share of the corpus in tables of fixed size and sends
-them compressed, in blocks; blocks of the same cells are added up in rounds of a few at a time. The finished tables
-have a size that only ``word_bits`` and ``pair_bits`` set, which is why they can be broadcast. Words that share a
-cell are counted together, alike in both models.
+Words are white-space runs in lower case, known by 64-bit hashes; pairs of neighbours have 64-bit keys of their own.
+Both models have the same form: pairs smoothed towards single words, those towards equal shares of the words of the
+corpus. The models are matched in size: the corpus counts are scaled to as many words as the target has, which is
+what a sample of that size would hold on average. A document's score is its mean loss per word under the target less
+that under the corpus; low scores are most like the target.
+
+Counts cover every word and pair of every document, and grow with the corpus. Documents are packed into blocks of
+about ``BLOCK_WORDS`` words. A block sends each of its distinct keys once, with its counts, to the key's bucket;
+there the counts of all blocks are added up, and the sums go back to the blocks that hold the key, which score their
+documents with them. A key in every document is one entry per block. The number of buckets follows the number of
+words, and no model is ever held in one place. ``word_bits`` and ``pair_bits`` below 64 fold keys together.
 
 Cases: a null or empty text has no words and null scores. Repeated rows count each time. Documents without a label
 count for the corpus only; of several labels of a document all must call it good. Without target documents all
@@ -18,6 +19,7 @@ scores are null. Texts have no length limit.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,14 +31,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.llm.common import stored
 
-BLOCK_CELLS = 1 << 16
-FAN_IN = 32
+BLOCK_WORDS, BLOCK_DOCS = 1 << 21, 1 << 16
+BLOCK_CELLS = 1 << 20  # entries that a bucket adds up, on average
+FAN_IN = 32  # buckets at least
 
 
 @dataclass(frozen=True)
 class Shape:
-    word_bits: int = 18
-    pair_bits: int = 22
+    word_bits: int = 64
+    pair_bits: int = 64
     pull: float = 4.0  # words that the smoothing towards single words weighs
 
 
@@ -45,154 +48,150 @@ def word_hashes(text: Column) -> Column:
     return F.coalesce(F.transform(words, lambda w: F.xxhash64(w)), F.array().cast("array<long>"))
 
 
-def cells(flat: np.ndarray, offsets: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, previous word or -1, pair) as cells, for the words of several documents."""
-    h = flat.view(np.uint64)
-    word = (h >> np.uint64(64 - shape.word_bits)).astype(np.int64)
+def cells(h: np.ndarray, lengths: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word keys, pair keys, first words of a document) for the word hashes of several documents."""
+    firsts = np.zeros(len(h), bool)
+    firsts[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
     before = np.concatenate([np.zeros(min(1, len(h)), np.uint64), h[:-1]])
-    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
     before[firsts] = np.uint64(0)
     pair = (before * np.uint64(0x9E3779B97F4A7C15)) ^ h
     pair = (pair ^ (pair >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    pair = (pair >> np.uint64(64 - shape.pair_bits)).astype(np.int64)
-    previous = np.concatenate([np.zeros(min(1, len(h)), np.int64), word[:-1]])
-    previous[firsts] = -1
-    return word, previous, pair
+    top = lambda x, bits: x & np.uint64((1 << 64) - (1 << (64 - bits)))
+    return top(h, shape.word_bits), top(pair, shape.pair_bits), firsts
 
 
-def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    column = batch.column("words")
-    offsets = column.offsets.to_numpy().astype(np.int64)
-    return column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False), offsets - offsets[0]
+BLOCK = "block long, ids array<long>, lengths array<long>, hashes binary, codes binary, words long, starts long"
+WORDS, PAIRS = 0, 1
+ENTRIES = "kind int, bucket long, block long, keys binary, counts binary"
+SUMS = "kind int, bucket long, block long, distinct long, sums binary"
 
 
-COUNTS = "kind int, block int, part int, counts binary"
-PAIRS_ALL, PAIRS_TARGET, WORDS_ALL, WORDS_TARGET, STARTS = range(5)
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
 
 
-def _count_rows(kind: int, part: int, table: np.ndarray) -> Iterator[tuple]:
-    pack = zstandard.ZstdCompressor(level=1)
-    for block in range(0, len(table), BLOCK_CELLS):
-        own = table[block : block + BLOCK_CELLS]
-        if own.any():
-            yield kind, block // BLOCK_CELLS, part, pack.compress(own.astype("<i8").tobytes())
+def _pack(values: np.ndarray) -> bytes:
+    """Compressed, byte by byte of all values: the high bytes of small numbers are runs."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _count_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-    arrays = [pa.array(v, k) for v, k in zip(zip(*rows) if rows else [[]] * 4, kinds)]
-    return pa.RecordBatch.from_arrays(arrays, [part.split()[0] for part in COUNTS.split(", ")])
+def _unpack(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def _summed(counted: DataFrame) -> DataFrame:
-    """Blocks of the same cells added up, ``FAN_IN`` parts at a time, until one part is left."""
+def _blocks(docs: DataFrame) -> DataFrame:
+    """All rows of ``docs`` in blocks."""
+    rows = docs.select(F.col("doc_id").cast("long"), word_hashes(F.col("text")).alias("words"))
+    most_words, most_docs = BLOCK_WORDS, BLOCK_DOCS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size, docs = TaskContext.get().partitionId() << 32, [], 0, 0
+
+        def done() -> pa.RecordBatch:
+            ids, lengths, flat = ([h[k] for h in held] for k in range(3))
+            lengths, flat = np.concatenate(lengths), np.concatenate(flat)
+            hashes, codes = np.unique(flat, return_inverse=True)
+            ids = [x for part in ids for x in part.to_pylist()]
+            row = (number, ids, lengths.tolist(), _pack(hashes.astype("<u8")), _pack(codes.astype("<i4")), len(flat), int((lengths > 0).sum()))
+            kinds = [pa.int64(), *[pa.list_(pa.int64())] * 2, *[pa.binary()] * 2, *[pa.int64()] * 2]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], _names(BLOCK))
 
-    def add(table: pa.Table) -> pa.Table:
-        total = 0
-        for counts in table.column("counts"):
-            total = total + np.frombuffer(zstandard.ZstdDecompressor().decompress(counts.as_py()), "<i8")
-        kind, block, part = (table.column(c)[0].as_py() for c in ("kind", "block", "part"))
-        row = (kind, block, part // FAN_IN, zstandard.ZstdCompressor(level=1).compress(total.tobytes()))
-        return pa.Table.from_batches([_count_batch([row])])
-
-    while True:
-        last = counted.agg(F.max("part")).first()[0] or 0
-        grouped = counted.groupBy("kind", "block", F.floor(F.col("part") / FAN_IN))
-        counted = stored(grouped.applyInArrow(add, COUNTS), "ngram-counts")
-        if last < FAN_IN:
-            return counted
-
-
-@dataclass
-class Models:
-    """Counts of both models; the corpus ones are scaled to the target's number of words."""
-
-    shape: Shape
-    pairs: list[np.ndarray]
-    words: list[np.ndarray]
-    starts: list[float]
-    total: float
-    in_use: int
-
-    def losses(self, word: np.ndarray, previous: np.ndarray, pair: np.ndarray, which: int) -> np.ndarray:
-        """-ln P(word | previous) under the corpus (0) or the target (1)."""
-        pull, single = self.shape.pull, self.words[which]
-        p_word = (single[word] + 1.0) / (self.total + self.in_use)
-        seen = np.where(previous < 0, self.starts[which], single[previous])
-        # Pairs that share a cell can count more than their first word.
-        together = np.minimum(self.pairs[which][pair], seen)
-        return -np.log((together + pull * p_word) / (seen + pull))
-
-
-def count_models(docs: DataFrame, good: DataFrame, shape: Shape = Shape()) -> Models | None:
-    """Both models from all of ``docs``; those whose id is in ``good`` (doc_id) are the target too."""
-    # There may be as many labels as documents, so both sides are shuffled, few labels or many.
-    good = good.select(F.col("doc_id").alias("good_id"), F.lit(True).alias("good")).hint("merge")
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    rows = rows.join(good, rows["doc_id"] == good["good_id"], "left")
-    rows = rows.select(word_hashes(F.col("text")).alias("words"), F.coalesce("good", F.lit(False)).alias("good"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = [np.zeros(1 << shape.pair_bits, np.int32) for _ in range(2)]
-        words = [np.zeros(1 << shape.word_bits, np.int64) for _ in range(2)]
-        starts = np.zeros(2, np.int64)
         for batch in batches:
-            flat, offsets = _lists(batch)
-            word, _, pair = cells(flat, offsets, shape)
-            good = batch.column("good").to_numpy(zero_copy_only=False).astype(bool)
-            lengths = np.diff(offsets)
-            of_good = np.repeat(good, lengths)
-            for which, take in ((0, slice(None)), (1, of_good)):
-                np.add.at(pairs[which], pair[take], 1)
-                np.add.at(words[which], word[take], 1)
-            starts += [int((lengths > 0).sum()), int((good & (lengths > 0)).sum())]
-        part = TaskContext.get().partitionId()
-        for kind, table in ((PAIRS_ALL, pairs[0]), (PAIRS_TARGET, pairs[1]), (WORDS_ALL, words[0]), (WORDS_TARGET, words[1]), (STARTS, starts)):
-            yield _count_batch(list(_count_rows(kind, part, table)))
-
-    counted = stored(rows.mapInArrow(count, COUNTS), "ngram-parts")
-    tables = {k: np.zeros(1 << shape.pair_bits, np.float64) for k in (PAIRS_ALL, PAIRS_TARGET)}
-    tables |= {k: np.zeros(1 << shape.word_bits, np.float64) for k in (WORDS_ALL, WORDS_TARGET)}
-    tables[STARTS] = np.zeros(2)
-    for row in _summed(counted).select("kind", "block", "counts").toLocalIterator():
-        own = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(row["counts"])), "<i8")
-        at = row["block"] * BLOCK_CELLS
-        tables[row["kind"]][at : at + len(own)] = own
-    total, target = tables[WORDS_ALL].sum(), tables[WORDS_TARGET].sum()
-    if not target:
-        return None
-    scale = target / total
-    pairs = [(tables[PAIRS_ALL] * scale).astype(np.float32), tables[PAIRS_TARGET].astype(np.float32)]
-    words = [tables[WORDS_ALL] * scale, tables[WORDS_TARGET]]
-    starts = [float(tables[STARTS][0] * scale), float(tables[STARTS][1])]
-    return Models(shape, pairs, words, starts, float(target), int((tables[WORDS_ALL] > 0).sum()))
+            column = batch.column("words")
+            offsets = column.offsets.to_numpy().astype(np.int64)
+            flat = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False).view(np.uint64)
+            offsets -= offsets[0]
+            a = 0
+            while a < batch.num_rows:
+                fit = np.searchsorted(offsets, offsets[a] + most_words - size, side="left")
+                b = int(min(batch.num_rows, a + most_docs - docs, max(a + 1, fit)))
+                held.append((batch.column("doc_id").slice(a, b - a), np.diff(offsets[a : b + 1]), flat[offsets[a] : offsets[b]]))
+                size, docs, a = size + int(offsets[b] - offsets[a]), docs + b - a, b
+                if size >= most_words or docs >= most_docs:
+                    yield done()
+                    number, held, size, docs = number + 1, [], 0, 0
+        if held:
+            yield done()
+
+    return stored(rows.mapInArrow(run, BLOCK), "word-blocks")
+
+
+def _targets(blocks: DataFrame, good: DataFrame) -> DataFrame:
+    """(block, good, good_words, good_starts): the places of a block's documents whose id is in ``good`` (doc_id)."""
+    each = blocks.select("block", F.posexplode(F.arrays_zip("ids", "lengths")).alias("place", "doc"))
+    # There may be as many labels as documents, so both sides are shuffled, few labels or many.
+    met = each.join(good.hint("merge"), F.col("doc.ids") == F.col("doc_id"))
+    words = F.col("doc.lengths")
+    return stored(met.groupBy("block").agg(F.collect_list("place").alias("good"), F.sum(words).alias("good_words"), F.count_if(words > 0).alias("good_starts")), "targets")
 
 
-SCORES = "doc_id long, n_tokens long, ce_target double, ce_background double, ce_difference double"
+def _keys(row: dict, shape: Shape) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(lengths, first words, distinct keys in order and where each word has them, for words and pairs) of a block."""
+    lengths = np.array(row["lengths"], np.int64)
+    word, pair, firsts = cells(_unpack(row["hashes"], "<u8")[_unpack(row["codes"], "<i4")], lengths, shape)
+    return lengths, firsts, [np.unique(k, return_inverse=True) for k in (word, pair)]
 
 
-def score(docs: DataFrame, models: Models | None) -> DataFrame:
-    """Per row: doc_id, n_tokens, mean loss per word under both models, and the difference."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def _sums(blocks: DataFrame, targets: DataFrame, words: int, shape: Shape) -> DataFrame:
+    """Per kind, bucket and block: the counts in corpus and target of the block's keys in that bucket, in their order.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``distinct`` has the number of keys of the bucket once, and 0 elsewhere.
+    """
+    bits = max(math.ceil(math.log2(FAN_IN)), math.ceil(math.log2(max(1, words / BLOCK_CELLS))))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, offsets = _lists(batch)
-            lengths = np.diff(offsets)
-            means = []
-            for which in (1, 0):
-                if shared.value is None:
-                    means.append(np.full(len(lengths), np.nan))
-                    continue
-                loss = shared.value.losses(*cells(flat, offsets, shared.value.shape), which)
-                sums = np.concatenate([[0.0], np.cumsum(loss)])
-                with np.errstate(invalid="ignore"):
-                    means.append((sums[offsets[1:]] - sums[offsets[:-1]]) / lengths)
-            columns = [pa.array(m, from_pandas=True) for m in (*means, means[0] - means[1])]
-            arrays = [batch.column("doc_id"), pa.array(lengths), *columns]
-            yield pa.RecordBatch.from_arrays(arrays, [part.split()[0] for part in SCORES.split(", ")])
-
-    return docs.select(F.col("doc_id").cast("long"), word_hashes(F.col("text")).alias("words")).mapInArrow(run, SCORES)
+            for row in batch.to_pylist():
+                lengths, _, both = _keys(row, shape)
+                good = np.zeros(len(lengths), bool)
+                good[row["good"] or []] = True
+                of_good = np.repeat(good, lengths)
+                for kind, (keys, where) in enumerate(both):
+                    counts = [np.bincount(w, minlength=len(keys)).astype("<u4") for w in (where, where[of_good])]
+                    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+                    numbers, firsts = np.unique(bucket, return_index=True)
+                    cuts = list(zip(firsts, [*firsts[1:], len(keys)]))
+                    columns = [
+                        pa.array([kind] * len(cuts), pa.int32()), pa.array(numbers), pa.array([row["block"]] * len(cuts), pa.int64()),
+                        pa.array([_pack(np.diff(keys[a:b], prepend=np.uint64(0)).astype("<u8")) for a, b in cuts], pa.binary()),
+                        pa.array([_pack(np.concatenate([c[a:b] for c in counts])) for a, b in cuts], pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, _names(ENTRIES))
+
+    def add(table: pa.Table) -> pa.Table:
+        held = [np.cumsum(_unpack(k, "<u8"), dtype=np.uint64) for k in table.column("keys").to_pylist()]
+        keys, where = np.unique(np.concatenate(held), return_inverse=True)
+        counts = [_unpack(c, "<u4").reshape(2, -1) for c in table.column("counts").to_pylist()]
+        sums = [np.bincount(where, weights=c, minlength=len(keys)).astype("<i8")[where] for c in np.concatenate(counts, axis=1)]
+        ends = np.cumsum([len(k) for k in held])
+        packed = [_pack(np.concatenate([s[b - len(k) : b] for s in sums])) for k, b in zip(held, ends)]
+        distinct = pa.array([len(keys)] + [0] * (len(held) - 1), pa.int64())
+        return table.select(["kind", "bucket", "block"]).append_column("distinct", distinct).append_column("sums", pa.array(packed, pa.binary()))
+
+    held = blocks.select("block", "lengths", "hashes", "codes").join(targets.select("block", "good").hint("merge"), "block", "left")
+    dealt = held.mapInArrow(deal, ENTRIES)
+    return stored(dealt.groupBy("kind", "bucket").applyInArrow(add, SUMS), "ngram-sums")
+
+
+SCORES = "doc_id long, n_tokens long, ce_target double, ce_background double, ce_difference double"
+
+
+def _losses(row: dict, shape: Shape, total: int, target: int, starts: list[int], in_use: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words per document of a block, and -ln P(word | previous) of its words under the target and the corpus."""
+    lengths, firsts, both = _keys(row, shape)
+    back = {(s["kind"], s["bucket"]): _unpack(s["sums"], "<i8").reshape(2, -1) for s in row["sums"] or []}
+    counts = [np.concatenate([back[k] for k in sorted(back) if k[0] == kind] or [np.zeros((2, 0), np.int64)], axis=1) for kind in (WORDS, PAIRS)]
+    out = []
+    for which, by in ((1, 1.0), (0, target / total)):
+        single, together = ((c[which] * by)[where] for c, (_, where) in zip(counts, both))
+        seen = np.concatenate([np.zeros(min(1, len(single))), single[:-1]])
+        seen[firsts] = starts[which] * by
+        p_word = (single + 1.0) / (target + in_use)
+        # Folded pairs can count more than their first word.
+        out.append(-np.log((np.minimum(together, seen) + shape.pull * p_word) / (seen + shape.pull)))
+    return lengths, out
 
 
 def good_documents(labels: DataFrame) -> DataFrame:
@@ -203,4 +202,31 @@ def good_documents(labels: DataFrame) -> DataFrame:
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, shape: Shape = Shape()) -> DataFrame:
-    return score(docs, count_models(docs, good_documents(labels), shape))
+    """Per row: doc_id, n_tokens, mean loss per word under both models, and the difference."""
+    blocks = _blocks(docs)
+    targets = _targets(blocks, good_documents(labels))
+    total, start_all = (x or 0 for x in blocks.agg(F.sum("words"), F.sum("starts")).first())
+    target, start_good = (x or 0 for x in targets.agg(F.sum("good_words"), F.sum("good_starts")).first())
+    starts = [start_all, start_good]
+    sums = _sums(blocks, targets, total, shape)
+    in_use = sums.where(F.col("kind") == WORDS).agg(F.sum("distinct")).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                lengths, losses = np.array(row["lengths"], np.int64), []
+                if target:
+                    lengths, losses = _losses(row, shape, total, target, starts, in_use)
+                ends, means = np.cumsum(lengths), []
+                for loss in losses:
+                    run = np.concatenate([[0.0], np.cumsum(loss)])
+                    with np.errstate(invalid="ignore"):
+                        means.append((run[ends] - run[ends - lengths]) / lengths)
+                means = means or [np.full(len(lengths), np.nan)] * 2
+                columns = [pa.array(m, from_pandas=True) for m in (*means, means[0] - means[1])]
+                arrays = [pa.array(row["ids"], pa.int64()), pa.array(lengths), *columns]
+                yield pa.RecordBatch.from_arrays(arrays, _names(SCORES))
+
+    back = sums.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "sums")).alias("sums")).hint("merge")
+    held = blocks.select("block", "ids", "lengths", "hashes", "codes").join(back, "block", "left")
+    return held.mapInArrow(run, SCORES)

@@ -71,6 +71,16 @@ def test_strings_of_every_shift(spark, monkeypatch):
     assert result(substrings.remove_repeats(docs_of(spark, list(enumerate(texts))).repartition(3))) == want
 
 
+def test_a_repeated_fingerprint_is_dealt_once_per_block():
+    """Text with a short period has few fingerprints, however long it is; the flags come back to all its starts."""
+    text = b"ab" * 50_000 + bytes(np.random.default_rng(1).integers(97, 123, 500).astype(np.uint8))
+    hashes = np.concatenate([h for _, h in substrings.fingerprints(np.frombuffer(text, np.uint8), 200)])
+    rows = [r for batch in substrings._dealt(0, hashes, 6, 8) for r in batch.to_pylist()]
+    assert sum(len(r["hashes"]) // 8 for r in rows) == len(set(hashes.tolist())) < 800
+    flags = [{"bucket": r["bucket"], "tied": r["twice"]} for r in rows]
+    assert np.flatnonzero(substrings._flagged(hashes, 6, flags)).tolist() == list(range(100_001 - 200))
+
+
 def test_awkward_rows(spark):
     rows = awkward(spark).select("doc_id", "text").collect()
     want = sorted(((r["doc_id"], *b) for r, b in zip(rows, brute([r["text"] for r in rows]))), key=str)

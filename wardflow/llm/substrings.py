@@ -12,7 +12,8 @@ prefixes still meet in one bucket.
    are dealt to buckets by the fingerprint of their first ``width`` bytes and sorted bucket by bucket.
 
 Buckets are ranges of fingerprints; their number follows the corpus, so one bucket fits into a task's memory
-whatever the size, and equal texts enter once per input task. Fingerprints of the second step are wide enough that
+whatever the size: equal texts enter once per input task, and a fingerprint once per block, however many of the
+block's starts have it (a mark says that there are several). Fingerprints of the second step are wide enough that
 one false match in the whole corpus has a probability below about one in a thousand; false ties of the first step
 (32 bits and the bucket) only cost work.
 
@@ -137,15 +138,22 @@ def _blocks(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("text").cast("string")).mapInArrow(run, BLOCK)
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct fingerprints in order, whether each occurs twice, where each start has its own)."""
+    keys, where, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+    return keys, counts > 1, where
+
+
 def _dealt(block: int, hashes: np.ndarray, bits: int, wide: int) -> Iterator[pa.RecordBatch]:
-    """The fingerprints of a block as one row per bucket, in the order of their starts."""
-    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    numbers, firsts = np.unique(bucket[order], return_index=True)
-    raw = hashes[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
-    blobs = [raw[a:b].tobytes() for a, b in zip(firsts, [*firsts[1:], len(order)])]
-    arrays = [pa.array(numbers), pa.array([block] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())]
-    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "block", "hashes"])
+    """The distinct fingerprints of a block as one row per bucket, in order, with a bit for those that occur twice."""
+    keys, twice, _ = _distinct(hashes)
+    numbers, firsts = np.unique((keys >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
+    raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
+    cuts = list(zip(firsts, [*firsts[1:], len(keys)]))
+    blobs = [raw[a:b].tobytes() for a, b in cuts]
+    again = [np.packbits(twice[a:b]).tobytes() for a, b in cuts]
+    arrays = [pa.array(numbers), pa.array([block] * len(blobs), pa.int64()), pa.array(blobs, pa.binary()), pa.array(again, pa.binary())]
+    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "block", "hashes", "twice"])
 
 
 def _ties(dealt: DataFrame, wide: int) -> DataFrame:
@@ -157,7 +165,9 @@ def _ties(dealt: DataFrame, wide: int) -> DataFrame:
         values = np.zeros((sizes.sum(), 8), np.uint8)
         values[:, :wide] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, wide)
         values = values.view("<u8").ravel()
-        ordered = np.sort(values)
+        bits = zip(table.column("twice").to_pylist(), sizes)
+        twice = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=n) for t, n in bits]).astype(bool)
+        ordered = np.sort(np.concatenate([values, values[twice]]))
         again = ordered[1:][ordered[1:] == ordered[:-1]]
         if not len(again):
             return table.select(["block", "bucket"]).slice(0, 0).append_column("tied", pa.array([], pa.binary()))
@@ -174,14 +184,13 @@ def _ties(dealt: DataFrame, wide: int) -> DataFrame:
 
 def _flagged(hashes: np.ndarray, bits: int, flags: list[dict] | None) -> np.ndarray:
     """Which of a block's fingerprints are tied, from the flags of its buckets."""
-    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    firsts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
-    tied = np.zeros(len(hashes), bool)
+    keys, _, where = _distinct(hashes)
+    firsts = np.searchsorted((keys >> np.uint64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
+    tied = np.zeros(len(keys), bool)
     for flag in flags or []:
         a, b = firsts[flag["bucket"]], firsts[flag["bucket"] + 1]
-        tied[order[a:b]] = np.unpackbits(np.frombuffer(flag["tied"], np.uint8), count=b - a).astype(bool)
-    return tied
+        tied[a:b] = np.unpackbits(np.frombuffer(flag["tied"], np.uint8), count=b - a).astype(bool)
+    return tied[where]
 
 
 def _marked(n: int, firsts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -203,7 +212,7 @@ def _candidates(blocks: DataFrame, width: int) -> DataFrame:
             for row in batch.to_pylist():
                 yield from _dealt(row["block"], _chosen(*_unpacked(row["data"], row["ends"]), short, _in_cover)[1], bits, 4)
 
-    dealt = blocks.select("block", "data", "ends").mapInArrow(sample, "bucket long, block long, hashes binary")
+    dealt = blocks.select("block", "data", "ends").mapInArrow(sample, "bucket long, block long, hashes binary, twice binary")
     flags = stored(_ties(dealt, 4), "sample-ties")
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +264,7 @@ def _removals(candidates: DataFrame, width: int) -> DataFrame:
             for row in batch.to_pylist():
                 yield from _dealt(row["block"], _windows(row, width)[3], bits, wide)
 
-    dealt = candidates.mapInArrow(deal, "bucket long, block long, hashes binary")
+    dealt = candidates.mapInArrow(deal, "bucket long, block long, hashes binary, twice binary")
     flags = stored(_ties(dealt, wide), "window-ties")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -81,6 +81,20 @@ def test_a_repeated_fingerprint_is_dealt_once_per_block():
     assert np.flatnonzero(substrings._flagged(hashes, 6, flags)).tolist() == list(range(100_001 - 200))
 
 
+def test_windows_tie_only_if_both_fingerprints_do(spark):
+    data = np.frombuffer(bytes(np.random.default_rng(2).integers(97, 123, 1000).astype(np.uint8)), np.uint8)
+    first, second = (next(substrings.fingerprints(data, 200, k))[1] for k in (0, 1))
+    assert not np.intersect1d(first, second).size
+    one = np.full(len(first), first[0])
+    blocks = [np.column_stack([one, second]), np.column_stack([one, second ^ np.uint64(1)])]
+    blocks[1][7] = blocks[0][9]
+    rows = [r for k, h in enumerate(blocks) for batch in substrings._dealt(k, h, 6, 12) for r in batch.to_pylist()]
+    dealt = spark.createDataFrame(rows, "bucket long, block long, hashes binary, twice binary")
+    flags = {r["block"]: r["flags"] for r in substrings._ties(dealt, 12).collect()}
+    tied = [np.flatnonzero(substrings._flagged(h, 6, flags[k])).tolist() for k, h in enumerate(blocks)]
+    assert tied == [[9], [7]]
+
+
 def test_awkward_rows(spark):
     rows = awkward(spark).select("doc_id", "text").collect()
     want = sorted(((r["doc_id"], *b) for r, b in zip(rows, brute([r["text"] for r in rows]))), key=str)

@@ -1,8 +1,9 @@
-"""Removal of long repeated substrings by blockwise suffix sorting with a difference-cover sample.
+"""Removal of long repeated substrings by fingerprints of windows, filtered by a difference-cover sample.
 
 Every byte inside a ``width``-byte string that starts at two places of the corpus goes. Only the first ``width``
-bytes of a suffix matter, so suffixes are ordered by fingerprints of prefixes instead of letter by letter; equal
-prefixes still meet in one bucket.
+bytes of a suffix matter, so equal prefixes are found by their fingerprints. This is not blockwise suffix sorting as
+dealt: no suffix is sorted by its letters, the cover samples get no ranks, and no bytes of a match are compared. A
+match rests on two independent fingerprints being equal, so the result is right but for a small probability.
 
 1. The cover sample: starts whose place in their document lies, modulo 73, in a difference cover (the nine powers
    of two modulo 73). Any two places have a shift below 73 that takes both into the cover, so two equal strings
@@ -13,9 +14,10 @@ prefixes still meet in one bucket.
 
 Buckets are ranges of fingerprints; their number follows the corpus, so one bucket fits into a task's memory
 whatever the size: equal texts enter once per input task, and a fingerprint once per block, however many of the
-block's starts have it (a mark says that there are several). Fingerprints of the second step are wide enough that
-one false match in the whole corpus has a probability below about one in a thousand; false ties of the first step
-(32 bits and the bucket) only cost work.
+block's starts have it (a mark says that there are several). The second step compares the bucket and 10 to 14 bytes
+of two fingerprints with bases and byte values of their own: 32 bits more than would do for one false match in 1,000
+corpora if all bits were random, since fingerprints modulo 2 ** 64 have some weak low bits. False ties of the first
+step (32 bits and the bucket) only cost work.
 
 Cases: a null text is empty. Texts shorter than ``width`` keep everything. Copies of a text of at least ``width``
 bytes lose everything. Matches never cross documents. Long texts are fingerprinted in slices.
@@ -40,23 +42,26 @@ PERIOD = 73
 COVER = tuple(sorted(pow(2, k, PERIOD) for k in range(9)))
 BLOCK_BYTES, SLICE = 4 << 20, 1 << 20
 BUCKET_ITEMS = 1 << 21
-BASE = 0x9E3779B97F4A7C15
+BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
-@lru_cache(maxsize=1)
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def _tables(n: int, which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Random values of bytes, and powers of the base and of its inverse, modulo 2 ** 64."""
-    values = np.random.default_rng(73).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    power = np.full(n, BASE, np.uint64)
-    inverse = np.full(n, pow(BASE, -1, 1 << 64), np.uint64)
+    values = np.random.default_rng(73 + which).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    power = np.full(n, BASES[which], np.uint64)
+    inverse = np.full(n, pow(BASES[which], -1, 1 << 64), np.uint64)
     power[0] = inverse[0] = 1
     return values, np.cumprod(power), np.cumprod(inverse)
 
 
-def fingerprints(data: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(first start, mixed 64-bit fingerprints of the ``width`` bytes from each start), slice by slice."""
-    values, power, inverse = _tables(SLICE + 4096)
+def fingerprints(data: np.ndarray, width: int, which: int = 0) -> Iterator[tuple[int, np.ndarray]]:
+    """(first start, mixed 64-bit fingerprints of the ``width`` bytes from each start), slice by slice.
+
+    There are two independent kinds, told apart by ``which``.
+    """
+    values, power, inverse = _tables(SLICE + 4096, which)
     for at in range(0, len(data) - width + 1, SLICE):
         x = values[data[at : at + SLICE + width - 1]]
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * power[: len(x)])])
@@ -139,16 +144,24 @@ def _blocks(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct fingerprints in order, whether each occurs twice, where each start has its own)."""
-    keys, where, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    return keys, counts > 1, where
+    """(distinct rows in order, how often each occurs, where each start has its own); a row is one or two fingerprints."""
+    hashes = hashes.reshape(len(hashes), -1) if len(hashes) else hashes.reshape(0, 1)
+    order = np.lexsort(hashes.T[::-1])
+    ordered = hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
+    where = np.empty(len(hashes), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return ordered[new], np.bincount(where, minlength=int(new.sum())), where
 
 
 def _dealt(block: int, hashes: np.ndarray, bits: int, wide: int) -> Iterator[pa.RecordBatch]:
     """The distinct fingerprints of a block as one row per bucket, in order, with a bit for those that occur twice."""
-    keys, twice, _ = _distinct(hashes)
-    numbers, firsts = np.unique((keys >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
-    raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
+    keys, counts, _ = _distinct(hashes)
+    twice = counts > 1
+    numbers, firsts = np.unique((keys[:, 0] >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
+    # The bucket is the top of the first fingerprint, so of two the second goes first.
+    raw = np.ascontiguousarray(keys[:, ::-1]).astype("<u8").view(np.uint8).reshape(len(keys), -1)[:, :wide]
     cuts = list(zip(firsts, [*firsts[1:], len(keys)]))
     blobs = [raw[a:b].tobytes() for a, b in cuts]
     again = [np.packbits(twice[a:b]).tobytes() for a, b in cuts]
@@ -162,17 +175,14 @@ def _ties(dealt: DataFrame, wide: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         blobs = table.column("hashes").to_pylist()
         sizes = np.array([len(b) // wide for b in blobs])
-        values = np.zeros((sizes.sum(), 8), np.uint8)
+        values = np.zeros((sizes.sum(), 8 if wide <= 8 else 16), np.uint8)
         values[:, :wide] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, wide)
-        values = values.view("<u8").ravel()
         bits = zip(table.column("twice").to_pylist(), sizes)
         twice = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=n) for t, n in bits]).astype(bool)
-        ordered = np.sort(np.concatenate([values, values[twice]]))
-        again = ordered[1:][ordered[1:] == ordered[:-1]]
-        if not len(again):
-            return table.select(["block", "bucket"]).slice(0, 0).append_column("tied", pa.array([], pa.binary()))
-        at = np.minimum(np.searchsorted(again, values), len(again) - 1)
-        tied = again[at] == values
+        _, counts, where = _distinct(values.view("<u8"))
+        again = counts > 1
+        again[where[twice]] = True
+        tied = again[where]
         parts = np.split(tied, np.cumsum(sizes)[:-1])
         met = [k for k, part in enumerate(parts) if part.any()]
         packed = pa.array([np.packbits(parts[k]).tobytes() for k in met], pa.binary())
@@ -185,7 +195,7 @@ def _ties(dealt: DataFrame, wide: int) -> DataFrame:
 def _flagged(hashes: np.ndarray, bits: int, flags: list[dict] | None) -> np.ndarray:
     """Which of a block's fingerprints are tied, from the flags of its buckets."""
     keys, _, where = _distinct(hashes)
-    firsts = np.searchsorted((keys >> np.uint64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
+    firsts = np.searchsorted((keys[:, 0] >> np.uint64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
     tied = np.zeros(len(keys), bool)
     for flag in flags or []:
         a, b = firsts[flag["bucket"]], firsts[flag["bucket"] + 1]
@@ -246,18 +256,23 @@ def _candidates(blocks: DataFrame, width: int) -> DataFrame:
 
 
 def _windows(row: dict, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(data, ends, starts, fingerprints) of a candidate block's marked starts."""
+    """(data, ends, starts, both fingerprints) of a candidate block's marked starts."""
     data, ends = _unpacked(row["data"], row["ends"])
     raw = zstandard.ZstdDecompressor().decompress(row["marks"])
     marks = np.unpackbits(np.frombuffer(raw, np.uint8), count=len(data)).astype(bool)
-    return data, ends, *_chosen(data, ends, width, lambda starts, _: marks[starts])
+    starts, first = _chosen(data, ends, width, lambda starts, _: marks[starts])
+    second = [np.zeros(0, np.uint64)]
+    for at, h in fingerprints(data, width, 1):
+        a, b = np.searchsorted(starts, [at, at + len(h)])
+        second.append(h[starts[a:b] - at])
+    return data, ends, starts, np.column_stack([first, np.concatenate(second)])
 
 
 def _removals(candidates: DataFrame, width: int) -> DataFrame:
     """(sha, n_removed, n_spans, kept_sha256) per candidate text."""
     total = candidates.agg(F.sum("size")).first()[0] or 0
     bits = _buckets(total)
-    wide = min(8, max(4, math.ceil((2 * math.log2(max(2, total)) + 9 - bits) / 8)))
+    wide = min(14, max(10, math.ceil((2 * math.log2(max(2, total)) + 9 + 32 - bits) / 8)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -151,6 +151,17 @@ def test_best_threshold():
     assert toxicity.best_threshold(np.array([0.5, 0.5]), np.array([1, 0])) == 0.5
 
 
+def test_best_threshold_at_the_true_class_ratio():
+    """Clean documents of a sample count for those left out: the same threshold as over all of them."""
+    rng = np.random.default_rng(8)
+    p = np.concatenate([rng.beta(4, 2, 300), rng.beta(2, 4, 600)])
+    label = np.repeat([1.0, 0.0], [300, 600])
+    times = np.where(label > 0, 1, 9)
+    whole = toxicity.best_threshold(np.repeat(p, times), np.repeat(label, times))
+    assert toxicity.best_threshold(p, label, times.astype(float)) == pytest.approx(whole)
+    assert toxicity.best_threshold(p, label) < whole
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs = with_clashes(awkward(spark))
     labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 1, 0), (4, 1, 1), (7, 1, None), (None, 1, 1), (99, 1, 1)], LABELS)

@@ -4,7 +4,8 @@ Features are the words of a document and the beginnings of its words, hashed, ea
 first category is ``toxic`` as labelled. Two more are told apart among toxic documents by the terms that speak most
 for the label in the training sample: ``persistent`` (several of them) and ``severe`` (many for the length). For a
 later model's training, the earlier probabilities come from models that have not seen the document (out of fold);
-for scoring they come from models fitted on the whole sample. Thresholds are those of the best F1 out of fold.
+for scoring they come from models fitted on the whole sample. Thresholds are those of the best F1 out of fold,
+with each document of the sample standing for all of its class, so that they do not follow the sample's class ratio.
 
 Training takes at most ``2 * sample_rows`` toxic documents and three times as many others, chosen by a hash; every
 document is scored, over its whole text.
@@ -101,27 +102,35 @@ class Chain:
     thresholds: list[float] = field(default_factory=list)
 
 
-def best_threshold(probability: np.ndarray, label: np.ndarray) -> float:
-    """The probability from which taking documents gives the best F1; half way to the next one below it."""
+def best_threshold(probability: np.ndarray, label: np.ndarray, weight: np.ndarray | None = None) -> float:
+    """The probability from which taking documents gives the best F1; half way to the next one below it.
+
+    A document counts ``weight`` times.
+    """
+    weight = np.ones(len(label)) if weight is None else weight
     order = np.argsort(-probability, kind="stable")
-    p, hits = probability[order], np.cumsum(label[order])
-    f1 = 2 * hits / (np.arange(1, len(p) + 1) + max(1, label.sum()))
+    p, hits = probability[order], np.cumsum((label * weight)[order])
+    f1 = 2 * hits / (np.cumsum(weight[order]) + max(1, (label * weight).sum()))
     f1[:-1][p[:-1] == p[1:]] = -1  # equal probabilities are taken together
     at = int(np.argmax(f1))
     return float((p[at] + p[at + 1]) / 2) if at + 1 < len(p) else float(p[at])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample_rows: int, bits: int) -> DataFrame:
-    """A bounded sample of labelled documents of both classes: (doc_id, words, cells, toxic)."""
+    """A bounded sample of labelled documents of both classes: (doc_id, words, cells, toxic, weight).
+
+    ``weight`` is how many labelled documents of its class a sampled one stands for.
+    """
     seen = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     seen = seen.agg((F.max("toxic") > 0).cast("double").alias("toxic"))
     totals = {r["toxic"]: r["count"] for r in seen.groupBy("toxic").count().collect()}
+    wanted = {v: sample_rows * (1 if v else CLEAN) for v in totals}
     parts = [
-        bounded_sample(seen.where(F.col("toxic") == v), F.col("doc_id"), sample_rows * (1 if v else CLEAN), n)
+        bounded_sample(seen.where(F.col("toxic") == v), F.col("doc_id"), wanted[v], n).withColumn("weight", F.lit(max(1.0, n / wanted[v])))
         for v, n in sorted(totals.items())
     ]
     if len(parts) < 2:
-        return tokens(docs.limit(0), bits, with_words=True).withColumn("toxic", F.lit(0.0))
+        return tokens(docs.limit(0), bits, with_words=True).withColumns({"toxic": F.lit(0.0), "weight": F.lit(1.0)})
     # At most 8 * sample_rows rows of two numbers, so the sample goes to the documents. Of repeated ids one counts.
     few = F.broadcast(parts[0].unionByName(parts[1]))
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few, "doc_id").dropDuplicates(["doc_id"])
@@ -139,7 +148,7 @@ def _with_categories(rows: DataFrame, terms: int = 200) -> DataFrame:
     rows = rows.join(found).withColumn("hits", hits)
     persistent = (F.col("toxic") > 0) & (F.col("hits") >= 3)
     severe = persistent & (F.col("hits") * 40 >= F.size("words"))
-    return rows.select("doc_id", "cells", "toxic", persistent.cast("double").alias("persistent"), severe.cast("double").alias("severe"))
+    return rows.select("doc_id", "cells", "weight", "toxic", persistent.cast("double").alias("persistent"), severe.cast("double").alias("severe"))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 800, bits: int = 16) -> Chain:
@@ -165,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 800, bits: int
             model = fit_linear(*some(learned), earlier[learned], label[learned], bits)
             unseen[held] = model.probability(*some(held), earlier[held])
         chain.models.append(fit_linear(flat, offsets, earlier, label, bits))
-        chain.thresholds.append(best_threshold(unseen, label))
+        chain.thresholds.append(best_threshold(unseen, label, data["weight"].to_numpy()))
         earlier = np.column_stack([earlier, unseen])
     return chain
 

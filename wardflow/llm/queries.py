@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from wardflow.llm import lm, mixing, oracle, packing, pii, product_quantization, quality, simhash, substrings
-from wardflow.llm import token_files, toxicity
+from wardflow.llm import lm, mixing, oracle, packing, phrases, pii, product_quantization, quality, runs, simhash
+from wardflow.llm import substrings, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,40 @@ def op9_quality(spark, sf):
 def op10_simhash(spark, sf):
     found = simhash.near_duplicates(documents(spark, sf), shingle=3, distance=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op11_periodic_runs(spark, sf):
+    found = runs.periodic_runs(runs.with_planted_runs(documents(spark, sf)))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", runs.strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+ORACLE["op11_periodic_runs"] = oracle.runs_sql()
+
+
+@query
+def op12_warc(spark, sf):
+    back = warc.archives_round_trip(spark.read.parquet(f"{sf}/pages.parquet"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op12_warc"] = oracle.warc_sql()
+
+
+@query
+def op13_phrases(spark, sf):
+    return phrases.collocations(documents(spark, sf), min_count=10, contained_percent=50, top=2000)
+
+
+ORACLE["op13_phrases"] = oracle.phrases_sql(min_count=10, contained_percent=50, top=2000)

@@ -441,3 +441,43 @@ def test_top_n_rank_column_and_range(spark):
     df = spark.createDataFrame([("a", i) for i in range(10)], "k string, i int")
     got = top_n(df, ["k"], [F.col("i").desc()], 4, first=3, rank_as="place", splits=2).collect()
     assert sorted((r.place, r.i) for r in got) == [(3, 7), (4, 6)]
+
+
+def test_narrowing_takes_as_many_rounds_as_it_needs(spark):
+    values = [float(i * i % 99991) for i in range(20_000)] + [5.0] * 30_000
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    want = statistics.median(values)
+    assert exact_median(df, "x", accuracy=1000, rounds=3, most=60).first().median == want
+    with pytest.raises(Exception, match="more than 60 distinct values"):
+        exact_median(df, "x", accuracy=1000, rounds=1, most=60).collect()
+    assert exact_cut(df, "x", 0.9, accuracy=1000, rounds=3, most=60).first().cut == sorted(values)[45_000 - 1]
+
+
+def test_pages_by_cursor_equal_pages_by_offset(spark):
+    rows = [(p, at(-i), m, float(i)) for p in "ab" for m in ("spo2", "heart_rate") for i in range(23)]
+    df = vitals(spark, rows)
+    shown = vt.metric_history(df, 5)
+    for page in range(1, 6):
+        by_offset = sorted(vt.metric_history(df, 5, offset=5 * page).collect())
+        following = vt.next_pages(df, shown, 5)
+        assert sorted(following.collect()) == by_offset
+        shown = shown.unionByName(following)
+    one = vt.newest_vitals(df, 500, patient_id="a").collect()
+    for k in (0, 1, 17, 45):
+        after = (one[k].timestamp, one[k].metric_name)
+        assert vt.newest_vitals(df, 7, patient_id="a", after=after).collect() == one[k + 1 : k + 8]
+
+
+def test_too_many_metric_names_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(ft, "MOST_METRICS", 3)
+    rows = [("a", at(0), f"m{i}", 1.0) for i in range(4)]
+    assert ft.wide_means(vitals(spark, rows[:3])).columns == ["patient_id", "m0", "m1", "m2"]
+    with pytest.raises(ValueError):
+        ft.wide_means(vitals(spark, rows))
+
+
+def test_overview_of_one_patient(spark):
+    rows = vitals(spark, [("a", at(0), "spo2", 95.0), ("b", at(0), "spo2", 96.0)])
+    people = profiles(spark, ("a", None), ("b", None))
+    (page,) = vt.patient_overview(people, rows, patient_id="b").collect()
+    assert page.patient_id == "b" and [card.value for card in page.cards] == [96.0]

@@ -172,3 +172,58 @@ def test_dedup_stream_needs_no_more_than_the_key(spark):
     df = spark.createDataFrame([("a", START, "spo2", 1.0), ("a", START, "spo2", 2.0)], "patient_id string, timestamp timestamp, metric_name string, value double")
     assert df.isStreaming is False
     assert ingest.dedup_latest(df.withColumn("n", F.col("value")), "n").first().value == 2.0
+
+
+def test_the_later_message_wins_from_whatever_partition(spark, feed, tmp_path):
+    """Messages without a key: the correction is sent later, to the partition that Spark numbers first."""
+    root = str(tmp_path / "root")
+    feed.send(message("a", 0, 80.0), message("b", 0, 1.0), message("b", 0, 2.0), message("b", 0, 3.0))
+    feed.send(message("a", 0, 150.0, note="x" * 5000))
+    # the file named and listed first is the younger one
+    os.utime(feed.path / "001.txt", (1704300000, 1704300000))
+    run(feed, root)
+    raw = tables.load_vitals(spark, f"{root}/{tables.VITALS}")
+    order = [r.value for r in raw.filter("patient_id = 'a'").orderBy("arrival").collect()]
+    assert order == [150.0, 80.0]
+    assert {r.patient_id: r.value for r in ingest.current_rows(raw).collect()} == {"a": 80.0, "b": 3.0}
+    (where,) = raw.filter("value = 80").select("arrival.*").collect()
+    assert where.source.endswith("001.txt") and where.sent_at.timestamp() == 1704300000
+
+
+def test_kafka_order_of_arrival(spark):
+    from wardflow.sources.stream import arrival_key
+
+    records = [("t", 1, 7, START, 80.0), ("t", 0, 99, START - timedelta(seconds=1), 150.0), ("t", 1, 8, START, 81.0)]
+    df = spark.createDataFrame(records, "topic string, partition int, offset long, timestamp timestamp, v double")
+    ordered = df.select("v", arrival_key("kafka").alias("arrival")).orderBy("arrival").collect()
+    assert [r.v for r in ordered] == [150.0, 80.0, 81.0]
+    assert ordered[0].arrival.asDict() == {"sent_at": START - timedelta(seconds=1), "source": "t/0", "block": 0, "row": 99}
+
+
+def test_deduplication_reads_its_source_once(spark, feed, tmp_path):
+    root = str(tmp_path / "root")
+    feed.send(message("a", 0, 80.0), "broken", "broken", message("b", 0, 1.0, timestamp="soon"))
+    feed.send(message("a", 0, 80.0), "broken", message("a", 5, 81.0))
+    feed.send(message("a", 7200, 82.0), message("a", 5, 81.0), "broken")
+    query = run(feed, root, {"maxFilesPerTrigger": "1"}, dedup_delay="1 hour")
+    assert len(query.lastProgress.sources) == 1
+    assert query.exception() is None
+    vitals = stored(spark, root, tables.VITALS, schemas.PATIENT_VITALS)
+    assert sorted(r.value for r in vitals.collect()) == [80.0, 81.0, 82.0]
+    assert tables.load_quarantine(spark, root).count() == 5
+    # the state of rejects goes with the watermark
+    feed.send(message("a", 14400, 83.0))
+    feed.send(message("a", 14401, 84.0))
+    query = run(feed, root, {"maxFilesPerTrigger": "1"}, dedup_delay="1 hour")
+    assert query.lastProgress.stateOperators[0].numRowsTotal == 2
+
+
+def test_a_new_checkpoint_adds_to_the_tables(spark, feed, tmp_path):
+    root = str(tmp_path / "root")
+    feed.send(message("a", 0, 80.0))
+    run(feed, root, checkpoint=str(tmp_path / "one"))
+    run(feed, root, checkpoint=str(tmp_path / "one"))
+    assert tables.load_vitals(spark, f"{root}/{tables.VITALS}").count() == 1
+    run(feed, root, checkpoint=str(tmp_path / "two"))
+    raw = tables.load_vitals(spark, f"{root}/{tables.VITALS}")
+    assert raw.count() == 2 and ingest.current_rows(raw).count() == 1

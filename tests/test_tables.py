@@ -8,12 +8,13 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from wardflow import jobs, session
+from wardflow import jobs, schemas, session
 from wardflow.functions.constants import METRIC_NAMES
-from wardflow.operators import summary as sm
-from wardflow.plans.daily import run_daily_summary
+from wardflow.operators import ingest, summary as sm
+from wardflow.plans.daily import load_incremental_summary, run_daily_summary, run_incremental_summary
 from wardflow.plans.risk_refresh import run_risk_refresh
-from wardflow.sources import tables
+from wardflow.sources import log, tables
+from wardflow.streaming.ingest import write_micro_batch
 from tests.test_operators import AS_OF, at, profiles, vitals
 
 
@@ -143,3 +144,44 @@ def test_command_line_from_messages_to_ranking(spark, tmp_path, monkeypatch):
     jobs.main(["risk-model", "--profiles", people, "--vitals", clean, "--output", output, "--as-of", "2024-01-02 12:00:00"])
     ranking = spark.read.option("header", True).csv(output)
     assert ranking.count() == 40 and ranking.columns == ["patient_id", "predicted_risk", "actual_high_risk"]
+
+
+def test_incremental_summary_equals_the_full_one(spark, tmp_path):
+    root, state = str(tmp_path / "root"), str(tmp_path / "state")
+    path = f"{root}/{tables.VITALS}"
+
+    def send(batch, *rows):
+        messages = vitals(spark, list(rows)).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+        envelopes = messages.select(F.to_json(F.struct("*")).alias("value"))
+        write_micro_batch(ingest.decode_vitals(envelopes, raw_as="raw_message"), batch, root)
+
+    def rows_of(summary):
+        return sorted((str(r.stat_date), r.metric_name, r.avg_value, r.min_value, r.max_value, r.patient_count) for r in summary.collect())
+
+    def same():
+        full = sm.daily_summary(tables.load_vitals(spark, path))
+        assert rows_of(load_incremental_summary(spark, state)) == rows_of(full)
+
+    send(0, ("a", at(0), "spo2", 97.0), ("b", at(0), "spo2", None))
+    assert run_incremental_summary(spark, path, state) == 1
+    same()
+    send(1, ("a", at(-9), "spo2", 91.0), ("c", at(days=-1), "spo2", 95.0))
+    send(2, ("c", at(days=-1, seconds=-5), "spo2", 93.0))
+    untouched = {p.folder for p in log.state(spark, state).parts}
+    assert run_incremental_summary(spark, path, state) == 2
+    same()
+    assert not untouched & {p.folder for p in log.state(spark, state).parts}
+    # a day without news stays in its folder, and nothing new means no commit
+    send(3, ("d", at(days=-1), "heart_rate", 70.0))
+    today = {p.folder for p in log.state(spark, state).parts if p.folder.endswith("2024-01-02")}
+    assert run_incremental_summary(spark, path, state) == 1
+    assert today <= {p.folder for p in log.state(spark, state).parts}
+    same()
+    version = log.state(spark, state).version
+    assert run_incremental_summary(spark, path, state) == 0 and log.state(spark, state).version == version
+    # only the new folders are read
+    log.compact(spark, path, schemas.RAW_VITALS, lambda df: df, "day", fan=4)
+    send(4, ("e", at(0), "spo2", 99.0))
+    assert [p.last for p in log.state(spark, path).parts] == [3, 4]
+    assert run_incremental_summary(spark, path, state) == 1
+    same()

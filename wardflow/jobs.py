@@ -7,13 +7,13 @@ from datetime import datetime, timezone
 
 from wardflow.operators.model import top_risk
 from wardflow.operators.summary import read_daily_summary, resolve_stat_date
-from wardflow.plans.daily import run_daily_summary
+from wardflow.plans.daily import run_daily_summary, run_incremental_summary
 from wardflow.plans.risk_model import fit_risk_model
 from wardflow.plans.risk_refresh import run_risk_refresh
 from wardflow.session import get_session
 from wardflow.sources import tables
 from wardflow.sources.stream import read_vitals_stream
-from wardflow.streaming.ingest import compact_vitals, start_vitals_stream
+from wardflow.streaming.ingest import compact_batches, compact_vitals, start_vitals_stream
 
 
 def _pairs(texts: list[str]) -> dict[str, str]:
@@ -30,6 +30,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     daily.add_argument("--target", required=True, help="summary table")
     daily.add_argument("--format", default="parquet", help="format of the vitals table")
 
+    running = jobs.add_parser("running-summary", help="merge the stream's new batches into the summary state")
+    running.add_argument("--root", required=True, help="folder of the stream's tables")
+    running.add_argument("--state", required=True, help="table of the summary state")
+
     stream = jobs.add_parser("ingest", help="read the message stream into the tables")
     stream.add_argument("--root", required=True, help="folder of the tables and the checkpoint")
     stream.add_argument("--format", default="kafka")
@@ -40,6 +44,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
     compact = jobs.add_parser("compact", help="fold ingest batches into the clean vitals table")
     compact.add_argument("--root", required=True)
+    compact.add_argument("--batches", action="store_true", help="fold the stream's own small folders instead")
     compact.add_argument("days", nargs="*", metavar="YYYY-MM-DD")
 
     refresh = jobs.add_parser("risk-refresh", help="recompute risk scores and store the changed ones")
@@ -67,10 +72,15 @@ def main(argv: list[str] | None = None) -> None:
             read_daily_summary(tables.load_daily_summary(spark, args.target), day).show(50, truncate=False)
         else:
             print(f"No vitals for {day}. Nothing written.")
+    elif args.job == "running-summary":
+        days = run_incremental_summary(spark, f"{args.root}/{tables.VITALS}", args.state)
+        print(f"Updated {days} days")
     elif args.job == "ingest":
         envelopes = read_vitals_stream(spark, args.format, _pairs(args.option), path=args.path)
         trigger = {"availableNow": True} if args.available_now else None
         start_vitals_stream(envelopes, args.root, trigger=trigger, dedup_delay=args.dedup_delay).awaitTermination()
+    elif args.job == "compact" and args.batches:
+        print(compact_batches(spark, args.root))
     elif args.job == "compact":
         compact_vitals(spark, args.root, *args.days)
     elif args.job == "risk-refresh":

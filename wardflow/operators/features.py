@@ -14,6 +14,7 @@ from wardflow.operators.ranking import exact_cut, exact_median
 from wardflow.operators.vitals import since
 
 LABEL = "high_risk"
+MOST_METRICS = 500
 _SPLIT_SPACE = 16**13
 
 
@@ -22,14 +23,18 @@ def wide_means(
 ) -> DataFrame:
     """Mean per patient and metric, one column per metric in name order; missing means ``fill``.
 
-    Without ``metrics`` every metric that was sent has its column; finding their names is one aggregate.
+    Without ``metrics`` every metric that was sent has its column; finding their names is one aggregate, run when this
+    is called. More than ``MOST_METRICS`` names are an error: a column each would be a plan without bound, and so many
+    are damaged names rather than metrics.
 
     Conditional averages need one exchange of one partial row per patient and map task, whereas a
     pivot aggregates twice.
     """
     if metrics is None:
         sent = vitals.where(F.col("metric_name").isNotNull()).select("metric_name").distinct()
-        metrics = [row["metric_name"] for row in sent.collect()]  # names of metrics, not readings
+        metrics = [row["metric_name"] for row in sent.limit(MOST_METRICS + 1).collect()]
+        if len(metrics) > MOST_METRICS:
+            raise ValueError(f"more than {MOST_METRICS} metric names were sent; name the wanted ones")
     usable = F.when(~F.isnan("value"), F.col("value"))
     means = [F.avg(F.when(F.col("metric_name") == m, usable)).alias(m) for m in sorted(metrics)]
     wide = vitals.filter(F.col("metric_name").isin(*metrics)).groupBy("patient_id").agg(*means)

@@ -53,6 +53,8 @@ def dedup_latest(
 def current_rows(raw: DataFrame, keys: Sequence[str] = VITALS_KEY) -> DataFrame:
     """One row per key of a table that the stream appends to: the last batch, and in it the last arrival.
 
+    ``arrival`` is the key of :func:`wardflow.sources.stream.arrival_key` or any value that compares like it.
+
     A table without batches holds one row per key already. Filter by time first; what is filtered on is part of
     the key, so the result is the same and fewer rows are compared.
     """
@@ -67,3 +69,15 @@ def dedup_stream(vitals: DataFrame, delay: str, keys: Sequence[str] = VITALS_KEY
     need :func:`dedup_latest` on the stored table instead.
     """
     return vitals.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def dedup_messages(decoded: DataFrame, delay: str, keys: Sequence[str] = VITALS_KEY) -> DataFrame:
+    """:func:`dedup_stream` for readings and rejects together, in one pass over the source.
+
+    A message without a key cannot be a copy of anything, so it takes part under a number of its own. Its event time
+    is set to null: that is never late, moves no watermark, and its state goes with the next one.
+    """
+    alone = F.when(~has_key(), F.uuid()).alias("_alone")
+    timed = F.when(has_key(), F.col("timestamp")).alias("_event_time")
+    marked = decoded.select("*", alone, timed).withWatermark("_event_time", delay)
+    return marked.dropDuplicatesWithinWatermark([*keys, "_alone"]).drop("_alone", "_event_time")

@@ -71,9 +71,22 @@ def format_vitals(vitals: DataFrame, *, keep: tuple[str, ...] = ("patient_id",))
 
 
 def newest_vitals(
-    vitals: DataFrame, n: int | None = c.VITALS_CAP, *, patient_id: str | None = None, splits: int = DEFAULT_SPLITS
+    vitals: DataFrame,
+    n: int | None = c.VITALS_CAP,
+    *,
+    patient_id: str | None = None,
+    after: tuple[datetime | str, str] | None = None,
+    splits: int = DEFAULT_SPLITS,
 ) -> DataFrame:
-    """Newest ``n`` readings of each patient (None: all), or of one patient (a request: 1 to 500)."""
+    """Newest ``n`` readings of each patient (None: all), or of one patient (a request: 1 to 500).
+
+    ``after``, time and metric of the last reading that a request has shown, gives its next page: older rows alone are
+    read and ranked, however deep the page.
+    """
+    if after is not None:
+        moment = F.lit(after[0]).cast("timestamp")
+        same = (F.col("timestamp") == moment) & (F.col("metric_name") > after[1])
+        vitals = vitals.filter((F.col("timestamp") <= moment) & ((F.col("timestamp") < moment) | same))
     if patient_id is not None:
         n = col.clamp(c.MAX_VITALS if n is None else n, 1, c.MAX_VITALS)
         return vitals.filter(F.col("patient_id") == patient_id).orderBy(*newest_first()).limit(n)
@@ -112,6 +125,18 @@ def metric_history(
     return top_n(vitals, keys, [F.col("timestamp").desc()], last, first=offset + 1, splits=splits)
 
 
+def next_pages(vitals: DataFrame, shown: DataFrame, n: int = c.VITALS_CAP, *, splits: int = DEFAULT_SPLITS) -> DataFrame:
+    """The ``n`` readings per patient and metric that follow those in ``shown``, which holds the pages so far.
+
+    The oldest shown reading of each key is its cursor, so only n rows per key are ranked, where an offset ranks all
+    the pages before as well. A key of which nothing is shown has no next page.
+    """
+    keys = ["patient_id", "metric_name"]
+    cursors = shown.groupBy(*keys).agg(F.min("timestamp").alias("_cursor"))
+    older = vitals.join(cursors, keys).filter(F.col("timestamp") < F.col("_cursor")).drop("_cursor")
+    return top_n(older.select(*vitals.columns), keys, [F.col("timestamp").desc()], max(1, int(n)), splits=splits)
+
+
 def latest_readings(
     vitals: DataFrame,
     as_of: datetime | str,
@@ -173,9 +198,14 @@ def metric_cards(
 
 
 def patient_overview(
-    profiles: DataFrame, vitals: DataFrame, *, cap: int = c.VITALS_CAP, per_metric: int = c.CARD_ROWS
+    profiles: DataFrame,
+    vitals: DataFrame,
+    *,
+    cap: int = c.VITALS_CAP,
+    per_metric: int = c.CARD_ROWS,
+    patient_id: str | None = None,
 ) -> DataFrame:
-    """Each profile with its metric cards as an array, ordered by metric and position.
+    """Each profile, or one patient's, with its metric cards as an array, ordered by metric and position.
 
     The array is bounded by ``cap`` readings per patient; a patient without readings has an empty one.
     """
@@ -184,9 +214,11 @@ def patient_overview(
         "value", "unit", "timestamp", "range_status", "range_warning",
     )
     cards = (
-        metric_cards(vitals, cap=cap, per_metric=per_metric)
+        metric_cards(vitals, cap=cap, per_metric=per_metric, patient_id=patient_id)
         .groupBy("patient_id")
         .agg(F.sort_array(F.collect_list(card)).alias("cards"))
     )
+    if patient_id is not None:
+        profiles = profiles.filter(F.col("patient_id") == patient_id)
     empty = F.array().cast(cards.schema["cards"].dataType)
     return profiles.join(cards, "patient_id", "left").withColumn("cards", F.coalesce("cards", empty))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame
 
 from wardflow.operators import features as ft, model as ml
@@ -14,7 +13,7 @@ from wardflow.session import ensure_checkpoint_dir
 
 @dataclass(frozen=True)
 class RiskModel:
-    model: LogisticRegressionModel
+    model: ml.RiskWeights
     labelled: DataFrame
     train: DataFrame
     test: DataFrame
@@ -26,8 +25,8 @@ class RiskModel:
     def metrics(self) -> DataFrame:
         return ml.model_metrics(self.model, self.train, self.test, self.features)
 
-    def roc(self) -> DataFrame:
-        return ml.roc_points(self.model, self.test, self.features)
+    def roc(self, digits: int | None = None) -> DataFrame:
+        return ml.roc_points(self.model, self.test, self.features, digits=digits)
 
     def coefficients(self) -> DataFrame:
         return ml.model_coefficients(self.labelled.sparkSession, self.model, self.features)
@@ -49,6 +48,7 @@ def fit_risk_model(
 ) -> RiskModel:
     """Train on a part of the patients; the result ranks and evaluates on demand."""
     labelled = labelled_features(vitals, profiles, as_of)
-    train, test = ft.split(labelled, train_share, seed, exact=True)
+    # A row per patient; the cut between the sides is found once, not in every pass of the training.
+    train, test = (side.checkpoint() for side in ft.split(labelled, train_share, seed, exact=True))
     features = tuple(sorted(c for c in labelled.columns if c not in ("patient_id", ft.LABEL)))
     return RiskModel(ml.train_risk_model(train, features), labelled, train, test, features)

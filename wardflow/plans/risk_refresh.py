@@ -12,7 +12,7 @@ from wardflow.operators.profiles import apply_patches, risk_patches
 from wardflow.operators.risk import changed_risk, risk_scores
 from wardflow.operators.vitals import since
 from wardflow.session import ensure_checkpoint_dir
-from wardflow.sources import tables
+from wardflow.sources import log, tables
 
 
 def refreshed_profiles(
@@ -29,8 +29,9 @@ def run_risk_refresh(
     """Store the refreshed profiles as the table's next snapshot; the number of profiles updated.
 
     Nothing is written if no score has changed, so running the job again gives 0. Readings and alerts that
-    the stream stored more than once count once.
+    the stream stored more than once count once. If another refresh commits meanwhile, this one fails.
     """
+    before = log.state(spark, profiles_path)
     profiles = tables.load_profiles(spark, profiles_path)
     vitals = ingest.current_rows(since(tables.load_vitals(spark, vitals_path), as_of, c.RISK_MINUTES))
     alerts = since(tables.load_alerts_by_patient(spark, alerts_root), as_of, c.RISK_MINUTES)
@@ -39,5 +40,5 @@ def run_risk_refresh(
     changed = changed_risk(risk_scores(profiles, vitals, alerts, as_of), profiles).checkpoint()
     updated = changed.count()
     if updated:
-        tables.refresh_profiles(apply_patches(profiles, risk_patches(changed, as_of)), profiles_path)
+        tables.refresh_profiles(apply_patches(profiles, risk_patches(changed, as_of)), profiles_path, before)
     return updated

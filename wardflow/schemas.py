@@ -4,6 +4,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -32,6 +33,19 @@ PATIENT_VITALS = _struct(
     ("unit", StringType),
 )
 
+# A message's place in the order of arrival (see wardflow.sources.stream.arrival_key).
+ARRIVAL = _struct(("sent_at", TimestampType), ("source", StringType), ("block", LongType), ("row", LongType))
+
+QUARANTINE = _struct(("raw_message", StringType))
+
+
+def with_batch(schema: StructType) -> StructType:
+    """The columns of a table as the stream stores it, batch by batch."""
+    return StructType([*schema.fields, StructField("batch_id", LongType(), True)])
+
+
+RAW_VITALS = with_batch(StructType([*PATIENT_VITALS.fields, StructField("arrival", ARRIVAL, True)]))
+
 HEALTH_ALERTS = _struct(
     ("alert_id", StringType),
     ("patient_id", StringType),
@@ -73,6 +87,17 @@ DAILY_HEALTH_SUMMARY = _struct(
     ("patient_count", IntegerType),
 )
 
+# What daily summaries are kept up to date from; partitioned by day.
+SUMMARY_STATE = _struct(
+    ("metric_name", StringType),
+    ("patient_id", StringType),
+    ("readings", LongType),
+    ("total", DoubleType),
+    ("low", DoubleType),
+    ("high", DoubleType),
+    ("day", DateType),
+)
+
 CONTACT_INFO = _struct(("email", StringType), ("phone", StringType))
 
 PATIENT_PROFILES = StructType(

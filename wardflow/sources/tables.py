@@ -6,9 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from wardflow import schemas
+from wardflow.sources import log
 
 VITALS = "patient_vitals"
 VITALS_CLEAN = "patient_vitals_clean"
@@ -29,11 +30,13 @@ def load_table(
     *,
     missing_ok: bool = False,
 ) -> DataFrame:
-    """Read a table of any batch format.
+    """Read a table of any batch format; of a table with manifests, the folders that the newest lists.
 
     A path that does not exist is an error; with ``missing_ok`` it is an empty table, which is right only for what
     the stream has perhaps not written yet.
     """
+    if fmt == "parquet" and (logged := log.load(spark, path, schema)) is not None:
+        return logged
     try:
         return spark.read.format(fmt).schema(schema).options(**(options or {})).load(path)
     except AnalysisException as error:
@@ -42,30 +45,33 @@ def load_table(
         return spark.createDataFrame([], schema)
 
 
+def load_stream_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table that the stream writes, with the batch of each row; an empty one if it has not written it yet."""
+    if not log.state(spark, path).version:
+        return load_table(spark, path, schema, missing_ok=True)
+    return load_table(spark, path, schemas.with_batch(schema))
+
+
 def load_vitals(
     spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping | None = None, *, missing_ok: bool = False
 ) -> DataFrame:
     """Readings, clean or as the stream appended them (then with ``batch_id`` and ``arrival``)."""
-    schema = StructType([*schemas.PATIENT_VITALS.fields, StructField("arrival", LongType())])
-    vitals = load_table(spark, path, schema, fmt, options, missing_ok=missing_ok)
-    return vitals if "batch_id" in vitals.columns else vitals.drop("arrival")
+    if fmt == "parquet" and log.state(spark, path).version:
+        return load_table(spark, path, schemas.RAW_VITALS)
+    return load_table(spark, path, schemas.PATIENT_VITALS, fmt, options, missing_ok=missing_ok)
 
 
 def load_profiles(spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping | None = None) -> DataFrame:
-    """The newest snapshot of the profiles; a table without snapshots is read as it is."""
-    profiles = load_table(spark, path, schemas.PATIENT_PROFILES, fmt, options)
-    if SNAPSHOT not in profiles.columns:
-        return profiles
-    newest = profiles.agg(F.max(SNAPSHOT).alias("newest"))
-    return profiles.filter(F.col(SNAPSHOT) == newest.scalar()).drop(SNAPSHOT)
+    """The newest snapshot of the profiles; a table that was never refreshed is read as it is."""
+    return load_table(spark, path, schemas.PATIENT_PROFILES, fmt, options)
 
 
 def load_alerts(spark: SparkSession, root: str) -> DataFrame:
-    return load_table(spark, f"{root}/{ALERTS}", schemas.HEALTH_ALERTS, missing_ok=True)
+    return load_stream_table(spark, f"{root}/{ALERTS}", schemas.HEALTH_ALERTS)
 
 
 def load_alerts_by_day(spark: SparkSession, root: str) -> DataFrame:
-    return load_table(spark, f"{root}/{ALERTS_BY_DAY}", schemas.HEALTH_ALERTS_BY_DAY, missing_ok=True)
+    return load_stream_table(spark, f"{root}/{ALERTS_BY_DAY}", schemas.HEALTH_ALERTS_BY_DAY)
 
 
 def patient_bucket(patient: Column, buckets: int = PATIENT_BUCKETS) -> Column:
@@ -76,7 +82,7 @@ def load_alerts_by_patient(
     spark: SparkSession, root: str, patient_id: str | None = None, buckets: int = PATIENT_BUCKETS
 ) -> DataFrame:
     """Alerts laid out by patient; naming one patient reads only that patient's bucket."""
-    alerts = load_table(spark, f"{root}/{ALERTS_BY_PATIENT}", schemas.HEALTH_ALERTS_BY_PATIENT, missing_ok=True)
+    alerts = load_stream_table(spark, f"{root}/{ALERTS_BY_PATIENT}", schemas.HEALTH_ALERTS_BY_PATIENT)
     if patient_id is None:
         return alerts
     alerts = alerts.filter(F.col("patient_id") == patient_id)
@@ -85,6 +91,11 @@ def load_alerts_by_patient(
     return alerts
 
 
+def load_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Messages that could not be stored."""
+    return load_stream_table(spark, f"{root}/{QUARANTINE}", schemas.QUARANTINE)
+
+
 def write_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     """Replace exactly the partitions ``df`` has rows for; an empty frame changes nothing."""
     (
@@ -104,21 +115,16 @@ def load_daily_summary(spark: SparkSession, path: str) -> DataFrame:
     return load_table(spark, path, schemas.DAILY_HEALTH_SUMMARY, missing_ok=True)
 
 
-def refresh_profiles(profiles: DataFrame, path: str) -> None:
-    """Replace all profiles by writing the next snapshot; readers take the newest one.
+def refresh_profiles(profiles: DataFrame, path: str, based_on: log.State | None = None) -> None:
+    """Replace all profiles, by none as well, with the table's next snapshot.
 
-    ``profiles`` may be computed from the table itself: the snapshot it reads stays in place, so a
-    job that fails half-way leaves the table as it was. Old snapshots can be deleted at any time. No
-    profiles at all leave an empty table.
+    ``profiles`` may be computed from the table itself: the folder it reads stays in place, so a job that fails
+    half-way leaves the table as it was. Given the state they were computed from, ``based_on``, the refresh fails if
+    another has come between. Old snapshots go by :func:`wardflow.sources.log.retire`.
     """
     spark = profiles.sparkSession
-    stored = load_table(spark, path, schemas.PATIENT_PROFILES, missing_ok=True)
-    newest = stored.agg(F.max(SNAPSHOT)).first()[0] if SNAPSHOT in stored.columns else None
-    if profiles.isEmpty():
-        profiles.select(*schemas.PATIENT_PROFILES.names).write.mode("overwrite").parquet(path)
-        return
-    numbered = profiles.select(*schemas.PATIENT_PROFILES.names, F.lit((newest or 0) + 1).alias(SNAPSHOT))
-    write_partitions(numbered, path, SNAPSHOT)
+    rows = profiles.select(*schemas.PATIENT_PROFILES.names)
+    log.overwrite(rows, path, based_on or log.state(spark, path), label=SNAPSHOT)
 
 
 def export_ranking(ranking: DataFrame, path: str) -> None:

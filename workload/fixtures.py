@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wardflow.functions import columns as col
 from wardflow.operators import alerts as al
 from wardflow.session import use_utc
+from wardflow.sources.stream import ARRIVAL, read_vitals_stream
 
 AS_OF = "2024-01-02 12:00:00"
 DAY = "2024-01-02"
@@ -20,7 +21,8 @@ RESENT_OFFSET = 10_000_000
 # The six metrics take turns; each value is an affine function of k = value / 100 - 0.1.
 VITALS_COLUMNS = (
     "event_id",
-    "concat('P-', lpad(cast(user_id AS string), 6, '0')) AS patient_id",
+    # Every 101st reading is that of a patient without a profile.
+    "concat('P-', lpad(cast(user_id + CASE event_id % 101 WHEN 100 THEN 900000 ELSE 0 END AS string), 6, '0')) AS patient_id",
     f"""timestamp_seconds({BASE_SECONDS} + cast(floor(
           (unix_timestamp(cast(ts AS timestamp)) - {BASE_SECONDS}) / {SQUEEZE}) AS bigint)) AS timestamp""",
     """CASE event_id % 6 WHEN 0 THEN 'heart_rate' WHEN 1 THEN 'bp_systolic' WHEN 2 THEN 'bp_diastolic'
@@ -33,8 +35,8 @@ VITALS_COLUMNS = (
 )
 
 
-def vitals_of(events: DataFrame) -> DataFrame:
-    return events.selectExpr("*", "value / 100.0D - 0.1D AS k").selectExpr(*VITALS_COLUMNS)
+def vitals_of(events: DataFrame, *keep: str) -> DataFrame:
+    return events.selectExpr("*", "value / 100.0D - 0.1D AS k").selectExpr(*VITALS_COLUMNS, *keep)
 
 
 def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +60,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = use_utc(spark).read.parquet(f"{sf_dir}/customer.parquet").filter("c_custkey <> 0")
+    customers = use_utc(spark).read.parquet(f"{sf_dir}/customer.parquet")
     return customers.selectExpr(
         "concat('P-', lpad(cast(c_custkey AS string), 6, '0')) AS patient_id",
         "c_name AS name",
@@ -104,8 +106,12 @@ def profile_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages_of(events: DataFrame) -> DataFrame:
-    """Each event as the JSON message a device would send; some are damaged in one of three ways."""
-    rows = vitals_of(events).withColumn("timestamp", col.time_text(F.col("timestamp")))
+    """Each event as the JSON message a device would send; some are damaged in one of three ways.
+
+    A stream's messages keep their place in the order of arrival.
+    """
+    arrival = [c for c in events.columns if c == ARRIVAL]
+    rows = vitals_of(events, *arrival).withColumn("timestamp", col.time_text(F.col("timestamp")))
     turn = F.col("event_id") % 97
     text = F.to_json(
         F.struct(
@@ -117,7 +123,7 @@ def messages_of(events: DataFrame) -> DataFrame:
         )
     )
     damaged = F.when(turn == 3, F.substring(text, 1, 20)).otherwise(text)
-    return rows.select("event_id", damaged.cast("binary").alias("value"))
+    return rows.select("event_id", *arrival, damaged.cast("binary").alias("value"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,4 +133,4 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream; a file stream needs the folder and a file pattern."""
     schema = use_utc(spark).read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return read_vitals_stream(spark, "parquet", {"pathGlobFilter": "events.parquet"}, path=sf_dir, schema=schema)

@@ -2,12 +2,12 @@
 
 Each statement inlines the derived tables it needs. Doubles are rounded to six places (means of few
 readings to eight, risk scores to nine, where six would give ties) and times are text, as in the
-queries. The fitted model's queries have no SQL form.
+queries. The fitted model's queries repeat its optimum by Newton's method.
 """
 
 VITALS = """vitals AS (
   SELECT event_id,
-    'P-' || lpad(CAST(user_id AS varchar), 6, '0') AS patient_id,
+    'P-' || lpad(CAST(user_id + CASE event_id % 101 WHEN 100 THEN 900000 ELSE 0 END AS varchar), 6, '0') AS patient_id,
     TIMESTAMP '2024-01-01 00:00:00'
       + to_seconds(CAST(floor((floor(epoch(ts)) - 1704067200) / 20) AS bigint)) AS t,
     CASE event_id % 6 WHEN 0 THEN 'heart_rate' WHEN 1 THEN 'bp_systolic' WHEN 2 THEN 'bp_diastolic'
@@ -42,7 +42,7 @@ PROFILES = """profiles AS (
     CASE WHEN c_custkey % 11 = 10 THEN NULL ELSE (c_custkey % 11) / 10.0::DOUBLE END AS risk_score,
     '2024-01-01 00:00:00' AS last_updated,
     CAST(NULL AS varchar) AS risk_score_updated_at, CAST(NULL AS varchar) AS risk_score_source
-  FROM customer WHERE c_custkey <> 0
+  FROM customer
 )"""
 
 REFERENCE = """reference(metric_name, min_ok, max_ok, weight, description, range_text, metric_label) AS (
@@ -207,7 +207,84 @@ KEPT_ALERTS = "kept AS (SELECT *, event_id % 97 AS turn FROM classified)"
 ALERT_COLUMNS = f"""alert_id, patient_id, metric_name, round(value, 6) AS observed_value, alert_type,
   {TEXT_T} AS "timestamp", 'ACTIVE' AS status"""
 
+FEATURE_NAMES = ("bp_diastolic", "bp_systolic", "heart_rate", "respiratory_rate", "spo2", "temperature")
+
+
+def _newton(steps: int = 30) -> tuple[str, ...]:
+    """Weights of the penalised logistic regression by Newton's method, the linear systems solved by elimination.
+
+    ``w`` is the intercept and a weight per feature; half the squared weights are added to the summed loss, the intercept is
+    free.
+    """
+    n = len(FEATURE_NAMES) + 1
+    x = ["1.0::DOUBLE", *FEATURE_NAMES]
+    margin = " + ".join(f"w[{i + 1}] * {c}" for i, c in enumerate(x))
+    # Row i: second derivatives with the penalty, then the first derivative.
+    cells = [
+        [f"sum(p * (1 - p) * {x[i]} * {x[j]})" + (" + 1" if i == j and i else "") for j in range(n)]
+        + [f"sum((p - high_risk) * {x[i]})" + (f" + any_value(w)[{i + 1}]" if i else "")]
+        for i in range(n)
+    ]
+    rows = ", ".join(f"[{', '.join(row)}]" for row in cells)
+    solved = f"""SELECT step, any_value(w) AS w, [{rows}] AS m
+      FROM (SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM newton, trained WHERE step < {steps}) GROUP BY step"""
+    for k in range(1, n + 1):
+        lead = f"list_transform(m[{k}], lambda v: v / m[{k}][{k}])"
+        other = f"list_transform(row, lambda v, j: v - row[{k}] * m[{k}][j] / m[{k}][{k}])"
+        solved = f"""SELECT step, w, list_transform(m, lambda row, i: CASE WHEN i = {k} THEN {lead} ELSE {other} END) AS m
+      FROM ({solved})"""
+    return (
+        "trained AS (SELECT * FROM divided WHERE train)",
+        f"""newton AS (
+  SELECT 0 AS step, [{", ".join(["0.0::DOUBLE"] * n)}] AS w
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda v, i: v - m[i][{n + 1}]) FROM ({solved}))""",
+        f"weights AS (SELECT w FROM newton WHERE step = {steps})",
+        f"scored AS (SELECT *, {margin} AS margin, 1 / (1 + exp(-({margin}))) AS risk FROM divided, weights)",
+    )
+
+
+DIVIDED = """divided AS (
+  SELECT *, row_number() OVER (ORDER BY left(sha256('42|' || patient_id), 13)) <= floor(0.7 * count(*) OVER ()) AS train
+  FROM labelled
+)"""
+
+MODEL = (VITALS, PROFILES, FEATURES, LABELLED, DIVIDED, *_newton())
+
+
+def with_model(*parts_then_select: str) -> str:
+    return with_tables(*MODEL, *parts_then_select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+RANKED = "SELECT patient_id, round(risk, 6) AS predicted_risk, high_risk AS actual_high_risk FROM scored"
+
+
 ORACLE: dict[str, str] = {
+    "risk_ranking": with_model(RANKED),
+    "top_risk": with_model(f"{RANKED} ORDER BY risk DESC, patient_id LIMIT 10"),
+    "model_metrics": with_model(
+        """placed AS (
+  SELECT high_risk, rank() OVER (ORDER BY margin) + (count(*) OVER (PARTITION BY margin) - 1) / 2.0 AS place
+  FROM scored WHERE NOT train
+)""",
+        """SELECT round((sum(place) FILTER (WHERE high_risk = 1) - sum(high_risk) * (sum(high_risk) + 1) / 2.0)
+    / (sum(high_risk) * sum(1 - high_risk)), 6) AS auc,
+  (SELECT round(avg(CAST((risk > 0.5) = (high_risk = 1) AS int)), 6) FROM scored WHERE train) AS train_accuracy,
+  (SELECT round(avg(CAST((risk > 0.5) = (high_risk = 1) AS int)), 6) FROM scored WHERE NOT train) AS test_accuracy
+FROM placed""",
+    ),
+    "roc_points": with_model(
+        "tested AS (SELECT round(risk, 9) AS risk, high_risk FROM scored WHERE NOT train)",
+        """SELECT 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr UNION ALL
+SELECT fpr, tpr FROM (SELECT DISTINCT risk, round(sum(1 - high_risk) OVER w / sum(1 - high_risk) OVER (), 8) AS fpr,
+  round(sum(high_risk) OVER w / sum(high_risk) OVER (), 8) AS tpr
+FROM tested WINDOW w AS (ORDER BY risk DESC RANGE UNBOUNDED PRECEDING))""",
+    ),
+    "model_coefficients": with_model(
+        f"""SELECT unnest([{", ".join(f"'{f}'" for f in FEATURE_NAMES)}]) AS feature,
+  round(unnest(w[2:]), 6) AS coefficient FROM weights ORDER BY coefficient"""
+    ),
+
     "decode_roundtrip": with_tables(
         VITALS, READABLE, f"SELECT event_id, {VITALS_OUT} FROM readable WHERE turn NOT IN (1, 2, 3)"
     ),
@@ -303,6 +380,15 @@ FROM summary JOIN reference USING (metric_name)""",
         VITALS,
         f"SELECT {VITALS_OUT} FROM {newest('vitals', 'patient_id, metric_name', 't DESC')} WHERE rn BETWEEN 6 AND 10",
     ),
+    "metric_history_next": with_tables(
+        VITALS,
+        f"SELECT {VITALS_OUT} FROM {newest('vitals', 'patient_id, metric_name', 't DESC')} WHERE rn BETWEEN 6 AND 10",
+    ),
+    "patient_vitals_next": with_tables(
+        VITALS,
+        f"""SELECT {VITALS_OUT} FROM {newest('vitals', 'patient_id', 't DESC, metric_name')}
+WHERE rn BETWEEN 11 AND 20 AND patient_id = 'P-000007'""",
+    ),
     "latest_readings": with_tables(
         VITALS,
         latest_cte(240, 40),
@@ -330,6 +416,15 @@ FROM summary JOIN reference USING (metric_name)""",
         f"""SELECT p.patient_id, p.name, s.metric_name, CAST(s.position AS varchar) AS position, s.metric_label, s.description,
   s.card_unit, s.range_text, round(s.value, 6) AS value, s.unit, strftime(s.t, '%Y-%m-%d %H:%M:%S') AS "timestamp",
   s.range_status, s.range_warning FROM profiles p LEFT JOIN shown s USING (patient_id)""",
+    ),
+    "patient_overview_one": with_tables(
+        VITALS,
+        REFERENCE,
+        PROFILES,
+        cards_cte(40),
+        f"""SELECT p.patient_id, p.name, s.metric_name, CAST(s.position AS varchar) AS position, s.metric_label, s.description,
+  s.card_unit, s.range_text, round(s.value, 6) AS value, s.unit, strftime(s.t, '%Y-%m-%d %H:%M:%S') AS "timestamp",
+  s.range_status, s.range_warning FROM profiles p LEFT JOIN shown s USING (patient_id) WHERE p.patient_id = 'P-000007'""",
     ),
     "known_patient_vitals": with_tables(
         VITALS, PROFILES, f"SELECT {VITALS_OUT} FROM vitals WHERE patient_id IN (SELECT patient_id FROM profiles)"
@@ -395,6 +490,12 @@ FROM profiles LEFT JOIN patched USING (patient_id)""",
     "stream_alerts_by_patient": with_tables(
         VITALS, CLASSIFIED, KEPT_ALERTS, f"SELECT {ALERT_COLUMNS}, day FROM kept WHERE turn NOT IN (1, 2, 3)"
     ),
+    "stream_alerts_base": with_tables(
+        VITALS, CLASSIFIED, KEPT_ALERTS, f"SELECT {ALERT_COLUMNS} FROM kept WHERE turn NOT IN (1, 2, 3)"
+    ),
+    "compacted_batches": with_tables(
+        VITALS, CLASSIFIED, KEPT_ALERTS, f"SELECT {ALERT_COLUMNS}, day FROM kept WHERE turn NOT IN (1, 2, 3)"
+    ),
     "stream_quarantine": with_tables(
         VITALS,
         READABLE,
@@ -405,6 +506,10 @@ FROM profiles LEFT JOIN patched USING (patient_id)""",
 FROM readable WHERE turn IN (1, 2, 3)""",
     ),
     "compacted_vitals_corrected": with_tables(CORRECTED, f"SELECT {VITALS_OUT} FROM vitals"),
+    "incremental_daily_summary": with_tables(
+        VITALS, SUMMARY.replace("FROM vitals", "FROM vitals WHERE event_id % 97 NOT IN (1, 2, 3)"),
+        f"SELECT {SUMMARY_OUT} FROM summary",
+    ),
     "live_daily_summary": with_tables(CORRECTED, SUMMARY, f"SELECT {SUMMARY_OUT} FROM summary"),
     "patient_vitals_one": with_tables(
         VITALS,
@@ -421,9 +526,9 @@ WHERE rn BETWEEN 3 AND 6 AND patient_id = 'P-000007' AND metric_name = 'spo2'"""
         VITALS,
         PROFILES,
         FEATURES.replace("t >= TIMESTAMP '2024-01-01 12:00:00' AND ", ""),
-        """SELECT patient_id, round(bp_diastolic, 8) AS bp_diastolic, round(bp_systolic, 8) AS bp_systolic,
-  round(heart_rate, 8) AS heart_rate, round(respiratory_rate, 8) AS respiratory_rate, round(spo2, 8) AS spo2,
-  round(temperature, 8) AS temperature FROM features""",
+        """SELECT patient_id, round(bp_diastolic, 10) AS bp_diastolic, round(bp_systolic, 10) AS bp_systolic,
+  round(heart_rate, 10) AS heart_rate, round(respiratory_rate, 10) AS respiratory_rate, round(spo2, 10) AS spo2,
+  round(temperature, 10) AS temperature FROM features""",
     ),
     "high_risk_labels_fallback": with_tables(
         VITALS,
@@ -459,6 +564,7 @@ FROM labelled WINDOW w AS (ORDER BY spo2 DESC RANGE UNBOUNDED PRECEDING)""",
         LABELLED,
         "SELECT patient_id, round(heart_rate, 8) AS heart_rate, high_risk FROM labelled",
     ),
+    "median_of_readings": with_tables(VITALS, "SELECT round(median(value), 8) AS median FROM vitals"),
     "label_distribution": with_tables(
         VITALS, PROFILES, FEATURES, LABELLED, "SELECT high_risk, count(*) AS patients FROM labelled GROUP BY high_risk"
     ),

@@ -10,11 +10,14 @@ from wardflow import schemas
 from wardflow.functions import columns as col
 from wardflow.operators import alerts as al, features as ft, ingest, model as ml, profiles as pr
 from wardflow.operators import risk as rk, summary as sm, vitals as vt
+from wardflow.operators.ranking import exact_median
+from wardflow.plans.daily import load_incremental_summary, run_incremental_summary
 from wardflow.plans.risk_model import RiskModel, fit_risk_model, labelled_features
 from wardflow.plans.risk_refresh import refreshed_profiles
 from wardflow.session import new_work_dir
 from wardflow.sources import tables
-from wardflow.streaming.ingest import RAW, compact_vitals, start_vitals_stream
+from wardflow.sources.stream import ARRIVAL
+from wardflow.streaming.ingest import RAW, compact_batches, compact_vitals, start_vitals_stream, write_micro_batch
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,6 +215,22 @@ def metric_history_page2(spark, sf):
     return shown(vt.format_vitals(vt.metric_history(fx.vitals(spark, sf), 5, offset=5)), "value")
 
 
+@query
+def metric_history_next(spark, sf):
+    """The second page again, by cursors rather than by an offset."""
+    vitals = fx.vitals(spark, sf)
+    return shown(vt.format_vitals(vt.next_pages(vitals, vt.metric_history(vitals, 5), 5)), "value")
+
+
+@query
+def patient_vitals_next(spark, sf):
+    """One patient's second page, after the last reading of the first."""
+    vitals = fx.vitals(spark, sf)
+    last = vt.newest_vitals(vitals, 10, patient_id=ONE_PATIENT).collect()[-1:]
+    after = (last[0]["timestamp"], last[0]["metric_name"]) if last else None
+    return shown(vt.format_vitals(vt.newest_vitals(vitals, 10, patient_id=ONE_PATIENT, after=after)), "value")
+
+
 @query
 def latest_readings(spark, sf):
     return shown(vt.latest_readings(fx.vitals(spark, sf), fx.AS_OF, minutes=240, cap=40), "value")
@@ -235,6 +254,13 @@ def patient_overview(spark, sf):
     return shown(cards.withColumn("position", F.col("position").cast("string")), "value")
 
 
+@query
+def patient_overview_one(spark, sf):
+    page = vt.patient_overview(fx.profiles(spark, sf), fx.vitals(spark, sf), cap=40, patient_id=ONE_PATIENT)
+    cards = page.select("patient_id", "name", F.explode_outer("cards").alias("card")).select("patient_id", "name", "card.*")
+    return shown(cards.withColumn("position", F.col("position").cast("string")), "value")
+
+
 @query
 def known_patient_vitals(spark, sf):
     return shown(vt.format_vitals(pr.known_patients(fx.vitals(spark, sf), fx.profiles(spark, sf))), "value")
@@ -341,6 +367,12 @@ def stream_alerts(spark, sf):
     return shown(stored, "observed_value")
 
 
+@query
+def stream_alerts_base(spark, sf):
+    stored = tables.load_alerts(spark, _ingested(spark, sf))
+    return shown(stored.select(*schemas.HEALTH_ALERTS.names), "observed_value")
+
+
 @query
 def stream_alerts_by_patient(spark, sf):
     stored = tables.load_alerts_by_patient(spark, _ingested(spark, sf))
@@ -349,8 +381,7 @@ def stream_alerts_by_patient(spark, sf):
 
 @query
 def stream_quarantine(spark, sf):
-    path = f"{_ingested(spark, sf)}/{tables.QUARANTINE}"
-    rejects = spark.read.schema(f"{RAW} string, batch_id long").parquet(path)
+    rejects = tables.load_quarantine(spark, _ingested(spark, sf))
     # The text of a number differs between engines, so whole messages are compared by their fields.
     fields = F.from_json(RAW, schemas.MESSAGE)
     whole = F.endswith(RAW, F.lit("}"))
@@ -378,7 +409,9 @@ def _corrected(spark, sf) -> str:
     root = new_work_dir(spark, "corrected")
     events = fx.event_stream(spark, sf)
     again = events.filter(F.col("event_id") % 50 == 0).withColumn("value", F.col("value") - 100.0)
-    messages = fx.messages_of(events.unionByName(again))
+    # Later by its time, though Spark reads it first.
+    again = again.withColumn(ARRIVAL, F.col(ARRIVAL).withField("sent_at", F.expr(f"{ARRIVAL}.sent_at + interval 1 second")))
+    messages = fx.messages_of(again.unionByName(events))
     start_vitals_stream(messages, root, trigger={"availableNow": True}).awaitTermination()
     return root
 
@@ -390,6 +423,18 @@ def compacted_vitals_corrected(spark, sf):
     return shown(vt.format_vitals(tables.load_vitals(spark, f"{root}/{tables.VITALS_CLEAN}")), "value")
 
 
+@query
+def compacted_batches(spark, sf):
+    """Readings stored in two batches, half of them a second time, then folded into one folder a table."""
+    root = new_work_dir(spark, "batches")
+    decoded = ingest.decode_vitals(fx.messages(spark, sf), keep=("event_id",), raw_as=RAW)
+    for batch in range(3):
+        write_micro_batch(decoded.filter(F.col("event_id") % 2 == batch % 2), batch, root)
+    compact_batches(spark, root, fan=3)
+    alerts = tables.load_alerts_by_patient(spark, root).select(*schemas.HEALTH_ALERTS_BY_PATIENT.names)
+    return shown(alerts, "observed_value")
+
+
 @query
 def live_daily_summary(spark, sf):
     """Summary of the table the stream appends to, where corrected readings stand twice."""
@@ -397,6 +442,17 @@ def live_daily_summary(spark, sf):
     return shown(sm.daily_summary(ingest.current_rows(raw)), *MEASURES)
 
 
+@query
+def incremental_daily_summary(spark, sf):
+    """Three batches that all bring late readings for both days, each merged into the state as it comes."""
+    root = new_work_dir(spark, "incremental")
+    decoded = ingest.decode_vitals(fx.messages(spark, sf), keep=("event_id",), raw_as=RAW)
+    for batch in range(3):
+        write_micro_batch(decoded.filter(F.col("event_id") % 3 == batch), batch, root)
+        run_incremental_summary(spark, f"{root}/{tables.VITALS}", f"{root}/summary_state")
+    return shown(load_incremental_summary(spark, f"{root}/summary_state"), *MEASURES)
+
+
 # Features and the risk model
 
 
@@ -418,7 +474,7 @@ def high_risk_labels(spark, sf):
 @query
 def patient_features_72h(spark, sf):
     found = ft.patient_features(fx.vitals(spark, sf), fx.AS_OF, profiles=fx.profiles(spark, sf), hours=72)
-    return shown(found, *ml.FEATURES, digits=8)
+    return shown(found, *ml.FEATURES, digits=10)
 
 
 @query
@@ -435,6 +491,12 @@ def roc_points_of_feature(spark, sf):
     return shown(ml.roc_curve(labelled, "spo2"), "threshold", "fpr", "tpr", digits=8)
 
 
+@query
+def median_of_readings(spark, sf):
+    """A coarse sketch and a small last step, so that the bracket is narrowed more than once."""
+    return shown(exact_median(fx.vitals(spark, sf), "value", accuracy=400, rounds=3, most=500), "median", digits=8)
+
+
 @query
 def label_distribution(spark, sf):
     return ft.label_distribution(ft.label_high_risk(_features(spark, sf)))
@@ -481,14 +543,14 @@ def top_risk(spark, sf):
 
 @query
 def model_metrics(spark, sf):
-    return _model(spark, sf).metrics()
+    return shown(_model(spark, sf).metrics(), "auc", "train_accuracy", "test_accuracy")
 
 
 @query
 def roc_points(spark, sf):
-    return _model(spark, sf).roc()
+    return shown(_model(spark, sf).roc(digits=9), "fpr", "tpr", digits=8)
 
 
 @query
 def model_coefficients(spark, sf):
-    return _model(spark, sf).coefficients()
+    return shown(_model(spark, sf).coefficients(), "coefficient")

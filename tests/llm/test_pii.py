@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -128,3 +129,18 @@ def test_overlapping_spans_are_masked_once():
     text = "0123456789"
     assert pii.masked(text, [("card", 1, 5), ("phone", 3, 7), ("ip", 7, 8)]) == "0[CARD][IP]89"
     assert pii.masked(text, []) == text
+
+
+def test_dense_texts_take_time_in_proportion(model):
+    """Thousands of base spans and as many candidates, in one text."""
+    times = []
+    for n in (4000, 16000):
+        text = " ".join(f"user{i}@mail{i}.example.org wrote 20{i % 90 + 10}-11-{i % 28 + 1} call 555-{i % 900 + 100}-{i % 9000 + 1000};" for i in range(n))
+        started = time.process_time()
+        base = pii.base_spans(text)
+        added = model.added(text, base)
+        times.append(time.process_time() - started)
+        assert len(base) >= n
+        taken = sorted((s, e) for _, s, e in added)
+        assert all(a[1] <= b[0] for a, b in zip(taken, taken[1:]))
+    assert times[1] < 8 * times[0]

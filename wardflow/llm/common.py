@@ -29,9 +29,13 @@ def spread(rows: int, per_block: int) -> int:
 
 
 def bounded_sample(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:
-    """About ``rows`` of ``total`` rows, chosen by a hash of ``key``; at most twice ``rows``."""
+    """About ``rows`` of ``total`` rows, chosen by a hash of ``key``; at most twice ``rows``, the same ones in every run.
+
+    Rows with equal keys come all or not at all, so the key should tell rows apart.
+    """
     share = min(1.0, rows / max(1, total))
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).limit(2 * rows)
+    place = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30))
+    return df.where(place < int(share * (1 << 30)) + 1).orderBy(place, key).limit(2 * rows)
 
 
 def local_stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:

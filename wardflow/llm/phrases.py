@@ -39,7 +39,7 @@ BLOCK_BYTES = 8 << 20
 SHARD_ENTRIES = 1 << 21
 LEVEL_BITS, LEAST_BITS = 10, 6
 ROUNDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
-BLOCKS = "block long, lang string, context int, ids binary, words array<string>, counts array<long>"
+BLOCKS = "block long, lang string, context int, size int, ids binary, words array<string>, counts array<long>"
 GRAMS = "w1 long, w2 long, w3 long, n long"
 # Capital letters of ASCII, tabulators as blanks, and every mark that ends a piece as a line end.
 FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t.,;:!?\x0b\x0c\r", bytes(range(97, 123)) + b" " + b"\n" * 9)
@@ -90,7 +90,8 @@ def _block(number: int, lang: str, data: bytes, context: int) -> pa.RecordBatch
     counts = np.bincount(local[context:], minlength=len(words.dictionary))
     ids = zstandard.ZstdCompressor(level=1).compress((local << np.uint32(1) | begins).astype("<u4").tobytes())
     arrays = [
-        pa.array([number], pa.int64()), pa.array([lang]), pa.array([context], pa.int32()), pa.array([ids], pa.binary()),
+        pa.array([number], pa.int64()), pa.array([lang]), pa.array([context], pa.int32()), pa.array([len(counts)], pa.int32()),
+        pa.array([ids], pa.binary()),
         pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), words.dictionary.cast(pa.string())),
         pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts, pa.int64())),
     ]
@@ -313,7 +314,7 @@ def _counts(blocks: DataFrame, words: DataFrame, b: int, min_count: int) -> Data
         columns = [high >> np.uint64(b), high & np.uint64((1 << b) - 1), low, counts[often]]
         return pa.Table.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["w1", "w2", "w3", "n"])
 
-    rows = blocks.join(ids, "block").select("block", "context", F.size("words").alias("size"), "ids", "known")
+    rows = blocks.join(ids, "block").select("block", "context", "size", "ids", "known")
     filters = rows.mapInArrow(count, "shard long, block long, data binary")
     for here, further in zip(levels, levels[1:]):
         # The entries of a range of this level, dealt to groups that hold as many as a shard in the end.

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -236,15 +237,39 @@ def examples(context: str, seed: int) -> list[tuple[str, bool, list[float]]]:
     start, end = len(head), len(head) + len(planted)
     text = head + planted + (context[at:] or ".")
     rows = []
-    base = base_spans(text)
+    base = Covered(base_spans(text))
     for span in candidates(text):
-        if any(span[1] < b[2] and b[1] < span[2] for b in base):
+        if base.meets(span):
             continue
         own = abs(span[1] - start) <= 1 and abs(span[2] - end) <= 1 and span[0] == kind
         rows.append((span[0], good and own, features(text, span)))
     return rows
 
 
+class Covered:
+    """Disjoint stretches of a text in order, so that a span is compared with its neighbours only."""
+
+    def __init__(self, spans: list[Span]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end in sorted(spans, key=lambda s: s[1]):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, span: Span) -> bool:
+        at = bisect_left(self.starts, span[2])
+        return at > 0 and self.ends[at - 1] > span[1]
+
+    def add(self, span: Span) -> None:
+        """``span`` meets nothing so far."""
+        at = bisect_left(self.starts, span[1])
+        self.starts.insert(at, span[1])
+        self.ends.insert(at, span[2])
+
+
 @dataclass
 class PiiModel:
     """Boosted trees as nested (feature, threshold, left, right) or leaf values, and a least score per kind."""
@@ -262,16 +287,21 @@ class PiiModel:
         return total
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
-        """Candidates that meet their threshold, best first, without overlap."""
-        scored = []
+        """Candidates that meet their threshold, best first, without overlap.
+
+        Equal scores are settled by length, the longest first, then by kind and place.
+        """
+        scored, taken = [], Covered(base)
         for span in candidates(text) if self.trees else []:
-            if not any(span[1] < b[2] and b[1] < span[2] for b in base):
+            if not taken.meets(span):
                 score = self.score(features(text, span))
                 if score >= self.thresholds.get(span[0], np.inf):
                     scored.append((-score, span[1] - span[2], span))
         chosen: list[Span] = []
+        taken = Covered([])
         for _, _, span in sorted(scored):
-            if not any(span[1] < c[2] and c[1] < span[2] for c in chosen):
+            if not taken.meets(span):
+                taken.add(span)
                 chosen.append(span)
         return chosen
 
@@ -312,11 +342,12 @@ def threshold(scores: np.ndarray, labels: np.ndarray, precision: float) -> float
 
 def train(docs: DataFrame, sample_rows: int = 3000, precision: float = 0.98, trees: int = 20, depth: int = 4) -> PiiModel:
     """Fit and calibrate on contexts from a bounded sample of ``docs``."""
-    key, text = F.col("doc_id"), F.col("text").cast("string")
+    text = F.col("text").cast("string")
+    key = F.xxhash64("doc_id", text)
     place = F.pmod(F.xxhash64(key), F.greatest(F.length(text), F.lit(1))).cast("int")
     seed = F.xxhash64(F.lit("plant"), key)
-    cut = docs.select("doc_id", F.substring(text, place, F.lit(300)).alias("context"), seed.alias("seed"))
-    sample = bounded_sample(cut.where("context <> ''"), key, sample_rows, docs.count())
+    cut = docs.select(key.alias("key"), F.substring(text, place, F.lit(300)).alias("context"), seed.alias("seed"))
+    sample = bounded_sample(cut.where("context <> ''"), F.col("key"), sample_rows, docs.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

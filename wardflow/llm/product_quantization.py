@@ -1,11 +1,13 @@
 """Near-duplicate vectors by product quantisation: inverted lists, residual codes, table-lookup distances, rerank.
 
 A coarse quantiser deals unit vectors to lists, and the residual from a list's centre is coded subspace by subspace.
-A vector queries its own list and every later one whose boundary with its own lies within ``probe_margin`` of it: a
-pair at the cosine limit differs by a step of at most ``sqrt(2 - 2 cosine)`` in many dimensions, and only the part
-of the step along one direction carries it over that boundary. In a list, distances from the query to coded vectors
-are sums of table entries; a coded vector further than the limit plus its own coding error cannot be a link, so this
-step loses nothing. What remains is compared by exact cosine in double precision.
+A vector queries its own list and every other one whose boundary with its own lies within half of the reach, the
+distance ``sqrt(2 - 2 cosine)`` of vectors at the cosine limit. The distances of two linked vectors to the boundary
+between their lists add up to the reach at most, so one of them queries the list of the other and no link is lost; a
+resting vector carries the lists that it queries itself, so a pair that meets in both counts once. In a list,
+distances from the query to coded vectors are sums of table entries; a coded vector further than the limit plus its
+own coding error cannot be a link, so this step loses nothing either. What remains is compared by exact cosine in
+double precision.
 
 Equal vectors are one class and are compared once. The quantisers are fitted on at most ``2 * sample_rows`` classes;
 every class is indexed. Links are counted in each group of blocks, and a group hands on, for its components, only
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wardflow.llm.common import block_pairs, bounded_sample, connected, local_stars, stored
 
 DB_BLOCK, QUERY_BLOCK, TILE = 2048, 4096, 256
+MOST_LISTS = 4096
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -55,6 +58,7 @@ class Index:
     centres: np.ndarray
     words: list[np.ndarray]
     cuts: list[int]
+    apart: np.ndarray | None = None
 
     @classmethod
     def fit(cls, x: np.ndarray, lists: int, subspaces: int = 8, codes: int = 256) -> Index:
@@ -74,13 +78,16 @@ class Index:
         return codes, np.sqrt(error)
 
     def route(self, x: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(home, row, list): each vector's list, and the later lists that it queries."""
+        """(home, row, list): each vector's list, and the other lists whose boundary lies within ``margin``."""
+        if self.apart is None:
+            squares = (self.centres**2).sum(axis=1)
+            self.apart = np.sqrt(np.maximum(squares[:, None] + squares - 2 * self.centres @ self.centres.T, 0)).astype(np.float32)
         squares = (self.centres**2).sum(axis=1) - 2 * x @ self.centres.T
         home = np.argmin(squares, axis=1)
-        apart = np.sqrt(((self.centres[:, None] - self.centres[None]) ** 2).sum(axis=2))
         lead = squares - squares[np.arange(len(x)), home][:, None]
-        near = lead <= 2 * margin * apart[home]
-        near &= np.arange(len(self.centres))[None, :] > home[:, None]
+        # A little more than needed, as rounding must not lose a pair.
+        near = lead <= 2 * margin * self.apart[home] + 1e-5
+        near[np.arange(len(x)), home] = False
         row, other = np.nonzero(near)
         return home, row, other
 
@@ -117,19 +124,21 @@ def fit_indexes(classes: DataFrame, sample_rows: int) -> dict[int, Index]:
         x = np.array(bounded_sample(own, F.col("vector"), wanted, count).toPandas()["vector"].tolist() or [[1.0] * size])
         order = np.lexsort(x.T[:4])
         mixed = np.random.default_rng(0).permutation(len(x))
-        lists = max(1, min(1024, int(math.sqrt(count) / 4)))
+        lists = max(1, min(MOST_LISTS, int(math.sqrt(count) / 4)))
         out[size] = Index.fit(_unit(x[order][mixed].ravel(), len(x)), lists)
     return out
 
 
-ROUTED = "list long, home boolean, cls long, copies long, code binary, error double, unit binary"
+ROUTED = "list long, home boolean, cls long, copies long, code binary, error double, rests int, queries binary, vector binary"
 
 
-def linked_classes(classes: DataFrame, cosine: float, probe_margin: float, sample_rows: int) -> DataFrame:
+def linked_classes(classes: DataFrame, cosine: float, sample_rows: int, single: bool) -> DataFrame:
     """(cls, n, root): links counted from class ``cls`` to vectors of other classes, and a member to be joined with.
 
-    ``classes`` has ``cls``, ``copies`` and ``vector``. A class has a row for every group of blocks it has links in.
+    ``classes`` has ``cls``, ``copies`` and ``vector``, whose parts were single precision if ``single``. A class has a
+    row for every group of blocks it has links in.
     """
+    kind = "<f4" if single else "<f8"
     shared = classes.sparkSession.sparkContext.broadcast(fit_indexes(classes, sample_rows))
     reach = math.sqrt(max(0.0, 2 - 2 * cosine))
     names = [part.split()[0] for part in ROUTED.split(", ")]
@@ -143,18 +152,23 @@ def linked_classes(classes: DataFrame, cosine: float, probe_margin: float, sampl
                 cls, copies = batch.column("cls").to_numpy(), batch.column("copies").to_numpy()
                 for size in np.unique(lengths).tolist():
                     rows = np.flatnonzero(lengths == size)
-                    unit = _unit(vectors.take(pa.array(rows)).flatten().to_numpy(), len(rows))
+                    flat = vectors.take(pa.array(rows)).flatten().to_numpy()
+                    unit = _unit(flat, len(rows))
                     index = shared.value[size]
-                    home, visitor, visited = index.route(unit, probe_margin)
+                    home, visitor, visited = index.route(unit, reach / 2)
                     codes, error = index.encode(unit, home)
                     row = np.concatenate([np.arange(len(rows)), visitor])
                     number = np.concatenate([home, visited]) + (size << 32)
                     rests = np.arange(len(row)) < len(rows)
-                    code = pa.array([c.tobytes() for c in codes], pa.binary())
-                    raw = pa.array([u.tobytes() for u in unit], pa.binary())
+                    cuts = np.searchsorted(visitor, np.arange(len(rows) + 1))
+                    # Only a resting row is asked for its code and for the lists it queries.
+                    code = pa.array([c.tobytes() for c in codes], pa.binary()).take(pa.array(row, mask=~rests))
+                    asked = [visited[a:b].astype("<u2").tobytes() for a, b in zip(cuts, cuts[1:])]
+                    asked = pa.array(asked, pa.binary()).take(pa.array(row, mask=~rests))
+                    raw = pa.array([v.tobytes() for v in flat.astype(kind).reshape(len(rows), size)], pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(number), pa.array(rests), pa.array(cls[rows][row]), pa.array(copies[rows][row]),
-                         code.take(pa.array(row)), pa.array(error[row]), raw.take(pa.array(row))], names,
+                        [pa.array(number), pa.array(rests), pa.array(cls[rows][row]), pa.array(copies[rows][row]), code,
+                         pa.array(error[row]), pa.array(home[row].astype(np.int32)), asked, raw.take(pa.array(row))], names,
                     )
 
     def compare(table: pa.Table) -> pa.Table:
@@ -164,9 +178,14 @@ def linked_classes(classes: DataFrame, cosine: float, probe_margin: float, sampl
         role = table.column("role").to_numpy().astype(bool)
         home = table.column("home").to_numpy().astype(bool)
         cls, copies = table.column("cls").to_numpy(), table.column("copies").to_numpy()
-        unit = np.frombuffer(b"".join(table.column("unit").to_pylist()), float).reshape(len(cls), size)
+        lives = table.column("rests").to_numpy()
+        flat = np.frombuffer(b"".join(table.column("vector").to_pylist()), kind)
+        unit = _unit(flat.astype(float), len(cls))
         db, queries = np.flatnonzero(role), np.flatnonzero(~role)
         codes = np.frombuffer(b"".join(table.column("code").filter(pa.array(role)).to_pylist()), np.uint8).reshape(len(db), -1)
+        # Which lists each resting row queries itself, as one number per row and list.
+        asked = [np.frombuffer(q, "<u2") for q in table.column("queries").filter(pa.array(role)).to_pylist()]
+        asked = np.repeat(db, [len(q) for q in asked]) * (MOST_LISTS + 1) + (np.concatenate(asked) if asked else 0)
         limit = (reach + table.column("error").to_numpy()[db] + 1e-4).astype(np.float32) ** 2
         i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(queries), TILE):
@@ -178,8 +197,12 @@ def linked_classes(classes: DataFrame, cosine: float, probe_margin: float, sampl
             for part in range(0, len(x), 65536):
                 a, b = rows[x[part : part + 65536]], db[y[part : part + 65536]]
                 linked = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine
-                i.append(a[linked])
-                j.append(b[linked])
+                a, b = a[linked], b[linked]
+                # A pair from two lists that meets in both counts in the later one.
+                twice = ~home[a] & (lives[a] > number)
+                twice[twice] = np.isin(b[twice] * (MOST_LISTS + 1) + lives[a[twice]], asked)
+                i.append(a[~twice])
+                j.append(b[~twice])
         i, j = np.concatenate(i), np.concatenate(j)
         nodes, where = np.unique(cls, return_inverse=True)
         counts = np.zeros(len(nodes), np.int64)
@@ -194,16 +217,18 @@ def linked_classes(classes: DataFrame, cosine: float, probe_margin: float, sampl
     return grouped.applyInArrow(compare, "cls long, n long, root long")
 
 
-def near_duplicates(
-    vectors: DataFrame, cosine: float = 0.9, probe_margin: float = 0.2, sample_rows: int = 20_000
-) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) per row of ``vectors`` (vec_id, embedding)."""
+def near_duplicates(vectors: DataFrame, cosine: float = 0.9, sample_rows: int = 20_000) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) per row of ``vectors`` (vec_id, embedding).
+
+    Lists number a quarter of the square root of the vectors, ``MOST_LISTS`` at most.
+    """
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"))
     rows = rows.withColumn("usable", _usable(F.col("vector")))
     usable = stored(rows.where("usable").drop("usable"), "vectors")
     grouped = usable.groupBy("vector").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
     classes = stored(grouped.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    found = stored(linked_classes(classes, cosine, probe_margin, sample_rows), "links")
+    found = stored(linked_classes(classes, cosine, sample_rows, single), "links")
     roots = connected(found.select(F.col("cls").alias("a"), F.col("root").alias("b")))
     roots = stored(roots.withColumnRenamed("node", "cls"), "roots")
     counts = stored(found.groupBy("cls").agg(F.sum("n").alias("n")), "counts")

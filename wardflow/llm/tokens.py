@@ -3,7 +3,8 @@
 Both byte-pair vocabularies used here split a text before every white space that follows something else, and
 nothing after that point changes how the part before it is encoded. So a text's ids are those of its chunks
 (white space and the word behind it), and a chunk seen before is not encoded again. Texts with white space
-other than space, tab, line feed and carriage return, where the rule could differ, are encoded whole.
+other than space, tab, line feed and carriage return, where the rule could differ, and texts that hold the string of
+a special token, which the tokenizer as loaded takes for that token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -18,15 +19,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO, LONGEST = 400_000, 64
+MEMO, LONGEST = 200_000, 64
 SLICE_BYTES = 16 << 20
-# A space and letters: one piece for both vocabularies' splitting rules.
-ONE_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
-# White space that the libraries at hand do not class alike, and the chunk mark itself.
+# Chunks whose number of word ends, or of beginnings with a space, is known: a space and letters are one piece for
+# both vocabularies' splitting rules, and marks behind them another.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+ENDS = ((1, re.compile(rf" [{LETTERS}]+\Z")), (2, re.compile(rf" [{LETTERS}]+[.,;:!?]+\Z")))
+SPACES = ((1, re.compile(r" [^ \t\n\r]+\Z")),)
+# White space that the libraries at hand do not class alike.
 ODD = (
-    r"[\x{0}\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}"
+    r"[\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}"
     r"\x{2060}\x{3000}\x{feff}]"
 )
+SPACE = np.isin(np.arange(256), [9, 10, 13, 32])
 
 
 class ChunkEncoder:
@@ -35,8 +40,11 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([ODD, *(re.escape(content) for content in special if content)])
+        # What was met lately and, until that is full, what was met before it.
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # Which ids end a word, or else (without a mark of word ends) which begin with its space.
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         self.marks_ends = bool(suffix)
@@ -56,23 +64,13 @@ class ChunkEncoder:
             start = end
 
     def _encode(self, texts: pa.Array) -> Iterator[bytes]:
-        odd = pc.match_substring_regex(texts, ODD)
-        plain = pc.if_else(odd, "", texts)
-        marked = pc.replace_substring_regex(plain, pattern=r"([ \n\t\r]+)", replacement="\x00\\1")
-        parts = pc.split_pattern(marked, "\x00")
-        chunks = parts.flatten().dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        known = self.memo
-        fresh = [c for c in distinct if c not in known]
-        new = dict(zip(fresh, self._whole(fresh)))
-        known.update((c, v) for c, v in new.items() if len(c) <= LONGEST)
-        values = pa.array([new[c] if c in new else known[c] for c in distinct], pa.large_binary())
+        odd = pc.match_substring_regex(texts, self.odd)
+        chunks, firsts = _chunks(pc.if_else(odd, "", texts))
+        chunks = chunks.dictionary_encode()
+        values = pa.array(self._ids(chunks.dictionary.to_pylist()), pa.large_binary())
         flat = values.take(chunks.indices)
         ends = np.frombuffer(flat.buffers()[1], "<i8", len(flat) + 1, 8 * flat.offset) if len(flat) else np.zeros(1, "<i8")
         ids = memoryview(flat.buffers()[2]) if len(flat) and flat.buffers()[2] else memoryview(b"")
-        firsts = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))]).astype(int)
         for i, strange in enumerate(odd.to_pylist()):
             if strange:
                 encoded = self.tokenizer.encode_batch_fast([texts[i].as_py()], add_special_tokens=False)[0]
@@ -80,17 +78,30 @@ class ChunkEncoder:
             else:
                 yield bytes(ids[ends[firsts[i]] : ends[firsts[i + 1]]])
 
+    def _ids(self, distinct: list[str]) -> list[bytes]:
+        memo, older = self.memo, self.older
+        found = [memo.get(c) or older.get(c) for c in distinct]
+        fresh = [c for c, ids in zip(distinct, found) if ids is None]
+        new = dict(zip(fresh, self._whole(fresh)))
+        found = [new[c] if ids is None else ids for c, ids in zip(distinct, found)]
+        if len(memo) > MEMO:
+            self.memo, self.older = {}, memo
+        self.memo.update((c, ids) for c, ids in zip(distinct, found) if len(c) <= LONGEST)
+        return found
+
     def _whole(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk. Single words are encoded as one text, which is faster, and told apart by marks."""
-        words = [c for c in chunks if ONE_WORD.match(c)]
-        encoded = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids if words else []
-        ids = np.array(encoded, "<u4")
-        marked = np.flatnonzero(self.mark[ids]) if len(ids) else np.zeros(0, int)
-        if len(marked) != len(words):
-            return self._each(chunks)
-        cuts = 4 * np.concatenate([[0], marked + 1] if self.marks_ends else [marked, [len(ids)]])
-        raw = ids.tobytes()
-        found = {w: raw[a:b] for w, a, b in zip(words, cuts.tolist(), cuts.tolist()[1:])}
+        """The ids of each chunk. Chunks with a known number of marks are encoded as one text, which is faster."""
+        found: dict[str, bytes] = {}
+        for marks, kind in ENDS if self.marks_ends else SPACES:
+            alike = [c for c in chunks if kind.match(c)]
+            encoded = self.tokenizer.encode_batch_fast(["".join(alike)], add_special_tokens=False)[0].ids if alike else []
+            ids = np.array(encoded, "<u4")
+            marked = np.flatnonzero(self.mark[ids]) if len(ids) else np.zeros(0, int)
+            if len(marked) == marks * len(alike):
+                marked = marked[marks - 1 :: marks]
+                cuts = 4 * np.concatenate([[0], marked + 1] if self.marks_ends else [marked, [len(ids)]])
+                raw = ids.tobytes()
+                found.update((c, raw[a:b]) for c, a, b in zip(alike, cuts.tolist(), cuts.tolist()[1:]))
         rest = [c for c in chunks if c not in found]
         found.update(zip(rest, self._each(rest)))
         return [found[c] for c in chunks]
@@ -103,6 +114,23 @@ class ChunkEncoder:
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def _chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the chunks of all texts, which of them is the first of each text); the chunks lie in the texts' own bytes."""
+    offsets = np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, 4 * texts.offset).astype(np.int64)
+    data = texts.buffers()[2]
+    size = int(offsets[-1] - offsets[0])
+    raw = np.frombuffer(data, np.uint8, size, int(offsets[0])) if size else np.zeros(0, np.uint8)
+    offsets -= offsets[0]
+    space = SPACE[raw]
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    starts = np.flatnonzero(begins)
+    bounds = np.append(starts, size)
+    chunks = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
+    return chunks, np.searchsorted(starts, offsets)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
     """One encoder per Python worker and vocabulary file; what it has learned serves later tasks too."""

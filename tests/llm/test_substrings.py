@@ -102,3 +102,25 @@ def test_awkward_rows(spark):
     assert substrings.remove_repeats(empty(spark)).count() == 0
     short = docs_of(spark, [(1, "short"), (2, "short"), (3, None)])
     assert [r[2] for r in result(substrings.remove_repeats(short))] == [0, 0, 0]
+
+
+def test_near_copies_share_a_block(spark):
+    rng = np.random.default_rng(8)
+    word = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    texts = []
+    for _ in range(30):
+        base = word(4000)
+        texts += [base[:k] + "#" + base[k:] for k in rng.integers(0, 4000, 4)] + [base] * 2
+    order = rng.permutation(len(texts))
+    docs = docs_of(spark, [(int(k), texts[k]) for k in order]).repartition(5)
+    substrings_in = {}
+    for row in substrings._blocks(docs, 200).collect():
+        shas = [row["shas"][i : i + 32] for i in range(0, len(row["shas"]), 32)]
+        assert len(set(shas)) == len(shas)  # equal texts meet in one task
+        substrings_in.update(dict.fromkeys(shas, row["block"]))
+    assert len(substrings_in) == len(set(texts))
+    together = 0
+    for k in range(0, len(texts), 6):
+        homes = [substrings_in[hashlib.sha256(t.encode()).digest()] for t in texts[k : k + 6]]
+        together += max(Counter(homes).values())
+    assert together > 0.85 * len(texts)

@@ -13,8 +13,8 @@ match rests on two independent fingerprints being equal, so the result is right
    are dealt to buckets by the fingerprint of their first ``width`` bytes and sorted bucket by bucket.
 
 Buckets are ranges of fingerprints; their number follows the corpus, so one bucket fits into a task's memory
-whatever the size: equal texts enter once per input task, and a fingerprint once per block, however many of the
-block's starts have it (a mark says that there are several). The second step compares the bucket and 10 to 14 bytes
+whatever the size: texts are first ranged by likeness, so that near copies share blocks, and a fingerprint enters
+once per block, however many of the block's starts have it (a mark says that there are several). The second step compares the bucket and 10 to 14 bytes
 of two fingerprints with bases and byte values of their own: 32 bits more than would do for one false match in 1,000
 corpora if all bits were random, since fingerprints modulo 2 ** 64 have some weak low bits. False ties of the first
 step (32 bits and the bucket) only cost work.
@@ -40,7 +40,7 @@ from wardflow.llm.common import stored
 
 PERIOD = 73
 COVER = tuple(sorted(pow(2, k, PERIOD) for k in range(9)))
-BLOCK_BYTES, SLICE = 4 << 20, 1 << 20
+BLOCK_BYTES, SLICE = 3 << 20, 1 << 20
 BUCKET_ITEMS = 1 << 21
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -112,11 +112,37 @@ def _unpacked(data: bytes, ends: bytes) -> tuple[np.ndarray, np.ndarray]:
 BLOCK = "block long, data binary, ends binary, shas binary, size long"
 
 
+GRAM = 32
+
+
+def _likeness(text: bytes) -> int:
+    """The least fingerprint of the text's ``GRAM``-byte strings: texts that share most of them mostly share this one."""
+    return int(np.min([h.min() for _, h in fingerprints(np.frombuffer(text, np.uint8), GRAM)])) - (1 << 63)
+
+
 def _blocks(docs: DataFrame, width: int) -> DataFrame:
-    """Texts of at least ``width`` bytes packed into blocks; a task takes equal texts once."""
+    """Texts of at least ``width`` bytes packed into blocks, near copies next to each other, equal texts mostly once.
+
+    What a block has several times it sends once, so near copies cost little where they share a block. They are
+    ranged by likeness and then by their own hash, so a group of any size is spread over as many tasks as it fills.
+    """
+
+    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, zstd = set(), zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            held: list[tuple] = []
+            for text in batch.column("text").cast(pa.binary()):
+                text = text.as_py() or b""
+                sha = hashlib.sha256(text).digest()
+                if len(text) >= width and sha not in seen:
+                    seen.add(sha)
+                    held.append((_likeness(text), sha, zstd.compress(text)))
+            if held:
+                kinds = [pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*held), kinds)], ["likeness", "sha", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, seen, held, shas, size = TaskContext.get().partitionId() << 32, set(), [], [], 0
+        number, before, held, shas, size = TaskContext.get().partitionId() << 32, b"", [], [], 0
 
         def done() -> pa.RecordBatch:
             row = (number, *_packed(held), b"".join(shas), size)
@@ -125,12 +151,10 @@ def _blocks(docs: DataFrame, width: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
         for batch in batches:
-            for text in batch.column("text").cast(pa.binary()):
-                text = text.as_py() or b""
-                sha = hashlib.sha256(text).digest()
-                if len(text) < width or sha in seen:
+            for sha, packed in zip(batch.column("sha").to_pylist(), batch.column("packed")):
+                if sha == before:
                     continue
-                seen.add(sha)
+                before, text = sha, zstandard.ZstdDecompressor().decompress(packed.as_py())
                 held.append(text)
                 shas.append(sha)
                 size += len(text)
@@ -140,7 +164,8 @@ def _blocks(docs: DataFrame, width: int) -> DataFrame:
         if held:
             yield done()
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, BLOCK)
+    texts = docs.select(F.col("text").cast("string")).mapInArrow(prepare, "likeness long, sha binary, packed binary")
+    return texts.repartitionByRange("likeness", "sha").sortWithinPartitions("likeness", "sha").mapInArrow(run, BLOCK)
 
 
 def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -12,7 +12,11 @@ DOCS = T.StructType(
     ]
 )
 # Columns whose names operators use inside themselves.
-CLASHING = ["fp", "root", "component_id", "row_id", "row_key", "text_key", "block", "epoch", "kept", "n_tokens", "spans"]
+CLASHING = [
+    "fp", "root", "component_id", "row_id", "row_key", "text_key", "block", "epoch", "kept", "n_tokens", "spans",
+    "words", "cells", "toxic", "weight", "shard", "bin", "sha", "lengths", "size", "known", "counts", "place", "likeness",
+    "packed", "runs", "collapsed", "word", "f", "key", "context", "seed",
+]
 
 
 def docs_of(spark, rows):

@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO, LONGEST = 200_000, 64
-SLICE_BYTES = 16 << 20
+MEMO, LONGEST = 100_000, 64
+SLICE_BYTES = 4 << 20
 # Chunks whose number of word ends, or of beginnings with a space, is known: a space and letters are one piece for
 # both vocabularies' splitting rules, and marks behind them another.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"

@@ -53,6 +53,44 @@ def test_chunks_encode_as_whole_texts(path, texts):
     assert chunked(path, texts) == plain(path, texts)
 
 
+MARKS = st.sampled_from(
+    ["a", "É", "ÿ", "×", "÷", "ŷ", "J", "5", "½", ".", ",", "'", "'s", "-", "_", "=", "<", "|>", "@", "~", "`", "%%%", "\u0338",
+     "\u030c", "\x7f", "€", "漢", " ", "\n", "\n ", "\t", " Ġ", "Ċ"]
+)
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+@given(texts=st.lists(st.lists(MARKS, max_size=14).map("".join), max_size=5))
+@settings(max_examples=500, deadline=None)
+def test_chunks_cut_at_marks_encode_as_whole_texts(path, texts):
+    assert chunked(path, texts) == plain(path, texts)
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_a_word_is_encoded_once_whatever_mark_follows(path):
+    encoder, sent = ChunkEncoder(path), []
+    whole = encoder._whole
+    encoder._whole = lambda chunks: sent.extend(map(str, chunks)) or whole(chunks)
+    list(encoder.encode(pa.array(["x alpha alpha. alpha, alpha; été! été", "x été"])))
+    assert sorted(sent) == sorted(["x", " alpha", ".", ",", ";", " été", "!"])
+    sent.clear()
+    list(encoder.encode(pa.array(["x alpha? été."])))
+    assert sent == ["?"]
+
+
+def test_memo_holds_its_bound(monkeypatch):
+    monkeypatch.setattr("wardflow.llm.tokens.MEMO", 50)
+    monkeypatch.setattr("wardflow.llm.tokens.SLICE_BYTES", 100)
+    encoder = ChunkEncoder(BYTES)
+    texts = [" ".join(f"w{i * k % 997}" for i in range(10)) + " " + "long" * 20 for k in range(200)]
+    got = []
+    for ids in encoder.encode(pa.array(texts)):
+        got.append(np.frombuffer(ids, "<u4").tolist())
+        assert len(encoder.memo) == len(encoder.memo_ids) <= 50
+        assert max(map(len, encoder.memo.to_pylist())) <= 64
+    assert got == plain(BYTES, texts)
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 

@@ -1,10 +1,11 @@
-"""Token ids of whole texts, computed from their distinct white-space chunks.
-
-Both byte-pair vocabularies used here split a text before every white space that follows something else, and
-nothing after that point changes how the part before it is encoded. So a text's ids are those of its chunks
-(white space and the word behind it), and a chunk seen before is not encoded again. Texts with white space
-other than space, tab, line feed and carriage return, where the rule could differ, and texts that hold the string of
-a special token, which the tokenizer as loaded takes for that token, are encoded whole.
+"""Token ids of whole texts, computed from their distinct chunks.
+
+Both byte-pair vocabularies used here split a text before every white space that follows something else and between
+a letter or digit and a mark other than the apostrophe, and nothing after such a point changes how the part before it
+is encoded. So a text's ids are those of its chunks (white space and the word behind it, marks), and a chunk seen
+before is not encoded again. Chunks are found, looked up and put together as columns, without an object for each.
+Texts with white space other than space, tab, line feed and carriage return, where the rule could differ, and texts
+that hold the string of a special token, which the tokenizer as loaded takes for that token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -19,19 +20,24 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO, LONGEST = 100_000, 64
+MEMO, LONGEST = 400_000, 64
 SLICE_BYTES = 4 << 20
-# Chunks whose number of word ends, or of beginnings with a space, is known: a space and letters are one piece for
-# both vocabularies' splitting rules, and marks behind them another.
+# Chunks of one word end, or of one beginning with white space: for both vocabularies' splitting rules the letters behind
+# a space or line feed are one piece, and a space belongs to whatever follows it.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-ENDS = ((1, re.compile(rf" [{LETTERS}]+\Z")), (2, re.compile(rf" [{LETTERS}]+[.,;:!?]+\Z")))
-SPACES = ((1, re.compile(r" [^ \t\n\r]+\Z")),)
+ONE_END = rf"\A[ \n][{LETTERS}]+\z"
+ONE_BEGINNING = rf"\A(?: [^ \t\n\r]+|\n[{LETTERS}]+)\z"
 # White space that the libraries at hand do not class alike.
 ODD = (
     r"[\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}"
     r"\x{2060}\x{3000}\x{feff}]"
 )
-SPACE = np.isin(np.arange(256), [9, 10, 13, 32])
+BYTES = np.arange(256)
+SPACE = np.isin(BYTES, [9, 10, 13, 32])
+ALNUM = np.isin(BYTES, list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
+MARK = (BYTES > 32) & (BYTES < 127) & ~ALNUM & (BYTES != 39)
+# The letters from U+00C0 to U+00FF are the byte C3 and one of these.
+LATIN = (BYTES >= 0x80) & (BYTES < 0xC0) & ~np.isin(BYTES, [0x97, 0xB7])
 
 
 class ChunkEncoder:
@@ -42,15 +48,14 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = "|".join([ODD, *(re.escape(content) for content in special if content)])
-        # What was met lately and, until that is full, what was met before it.
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # Chunks met lately and their ids.
+        self.memo, self.memo_ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         # Which ids end a word, or else (without a mark of word ends) which begin with its space.
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         self.marks_ends = bool(suffix)
         self.mark = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, number in self.tokenizer.get_vocab().items():
-            self.mark[number] = token.endswith(suffix) if suffix else token.startswith("Ġ")
+            self.mark[number] = token.endswith(suffix) if suffix else token.startswith(("Ġ", "Ċ"))
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text (null: none) as little-endian unsigned 32-bit integers."""
@@ -67,66 +72,79 @@ class ChunkEncoder:
         odd = pc.match_substring_regex(texts, self.odd)
         chunks, firsts = _chunks(pc.if_else(odd, "", texts))
         chunks = chunks.dictionary_encode()
-        values = pa.array(self._ids(chunks.dictionary.to_pylist()), pa.large_binary())
-        flat = values.take(chunks.indices)
-        ends = np.frombuffer(flat.buffers()[1], "<i8", len(flat) + 1, 8 * flat.offset) if len(flat) else np.zeros(1, "<i8")
-        ids = memoryview(flat.buffers()[2]) if len(flat) and flat.buffers()[2] else memoryview(b"")
+        ids, ends = _content(self._ids(chunks.dictionary).take(chunks.indices), "<i8")
         for i, strange in enumerate(odd.to_pylist()):
             if strange:
                 encoded = self.tokenizer.encode_batch_fast([texts[i].as_py()], add_special_tokens=False)[0]
                 yield np.array(encoded.ids, "<u4").tobytes()
             else:
-                yield bytes(ids[ends[firsts[i]] : ends[firsts[i + 1]]])
-
-    def _ids(self, distinct: list[str]) -> list[bytes]:
-        memo, older = self.memo, self.older
-        found = [memo.get(c) or older.get(c) for c in distinct]
-        fresh = [c for c, ids in zip(distinct, found) if ids is None]
-        new = dict(zip(fresh, self._whole(fresh)))
-        found = [new[c] if ids is None else ids for c, ids in zip(distinct, found)]
-        if len(memo) > MEMO:
-            self.memo, self.older = {}, memo
-        self.memo.update((c, ids) for c, ids in zip(distinct, found) if len(c) <= LONGEST)
+                yield ids[ends[firsts[i]] : ends[firsts[i + 1]]].tobytes()
+
+    def _ids(self, distinct: pa.Array) -> pa.Array:
+        """The ids of each chunk; ``distinct`` holds none twice."""
+        at = pc.fill_null(pc.index_in(distinct, value_set=self.memo), -1).to_numpy().copy()
+        new = at < 0
+        fresh = distinct.filter(pa.array(new))
+        fresh_ids = self._whole(fresh)
+        at[new] = len(self.memo) + np.arange(len(fresh))
+        found = pa.concat_arrays([self.memo_ids, fresh_ids]).take(pa.array(at))
+        if len(self.memo) + len(fresh) > MEMO:
+            self.memo, self.memo_ids = self.memo[:0], self.memo_ids[:0]
+            fresh, fresh_ids = distinct, found
+        short = pc.less_equal(pc.binary_length(fresh), LONGEST)
+        self.memo = pa.concat_arrays([self.memo, fresh.filter(short)])
+        self.memo_ids = pa.concat_arrays([self.memo_ids, fresh_ids.filter(short)])
         return found
 
-    def _whole(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk. Chunks with a known number of marks are encoded as one text, which is faster."""
-        found: dict[str, bytes] = {}
-        for marks, kind in ENDS if self.marks_ends else SPACES:
-            alike = [c for c in chunks if kind.match(c)]
-            encoded = self.tokenizer.encode_batch_fast(["".join(alike)], add_special_tokens=False)[0].ids if alike else []
-            ids = np.array(encoded, "<u4")
-            marked = np.flatnonzero(self.mark[ids]) if len(ids) else np.zeros(0, int)
-            if len(marked) == marks * len(alike):
-                marked = marked[marks - 1 :: marks]
-                cuts = 4 * np.concatenate([[0], marked + 1] if self.marks_ends else [marked, [len(ids)]])
-                raw = ids.tobytes()
-                found.update((c, raw[a:b]) for c, a, b in zip(alike, cuts.tolist(), cuts.tolist()[1:]))
-        rest = [c for c in chunks if c not in found]
-        found.update(zip(rest, self._each(rest)))
-        return [found[c] for c in chunks]
-
-    def _each(self, chunks: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4").tobytes()
+    def _whole(self, chunks: pa.Array) -> pa.Array:
+        """The ids of each chunk. Chunks with one mark each are encoded as one text, which is faster."""
+        alike = pc.match_substring_regex(chunks, ONE_END if self.marks_ends else ONE_BEGINNING)
+        joined = _content(chunks.filter(alike), "<i8")[0].tobytes().decode()
+        encoded = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids if joined else []
+        ids = np.array(encoded, "<u4")
+        marked = np.flatnonzero(self.mark[ids])
+        alike = alike.to_numpy(zero_copy_only=False)
+        if len(marked) != alike.sum():
+            return self._each(chunks)
+        cuts = 4 * np.concatenate([[0], marked + 1] if self.marks_ends else [marked, [len(ids)]])
+        rest = self._each(chunks.filter(pa.array(~alike)))
+        place = np.where(alike, np.cumsum(alike) - 1, len(marked) + np.cumsum(~alike) - 1)
+        return pa.concat_arrays([_cut(ids, cuts), rest]).take(pa.array(place))
+
+    def _each(self, chunks: pa.Array) -> pa.Array:
+        encoded = self.tokenizer.encode(chunks.to_pylist(), is_pretokenized=True, add_special_tokens=False)
         owner = np.array([w for w in encoded.word_ids if w is not None], np.int64)
-        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(chunks)))).tolist() if chunks else []
-        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+        ends = 4 * np.cumsum(np.bincount(owner, minlength=len(chunks)))
+        return _cut(np.array(encoded.ids, "<u4"), np.concatenate([[0], ends]))
+
+
+def _cut(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """``ids`` cut at the bytes ``bounds``."""
+    buffers = [None, pa.py_buffer(bounds.astype("<i8")), pa.py_buffer(ids)]
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers)
+
+
+def _content(values: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(the bytes of all values, where in them each begins and the last ends); ``kind`` is that of the array's offsets."""
+    if not len(values):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    bounds = np.frombuffer(values.buffers()[1], kind, len(values) + 1, int(kind[-1]) * values.offset).astype(np.int64)
+    size = int(bounds[-1] - bounds[0])
+    raw = np.frombuffer(values.buffers()[2], np.uint8, size, int(bounds[0])) if size else np.zeros(0, np.uint8)
+    return raw, bounds - bounds[0]
 
 
 def _chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """(the chunks of all texts, which of them is the first of each text); the chunks lie in the texts' own bytes."""
-    offsets = np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, 4 * texts.offset).astype(np.int64)
-    data = texts.buffers()[2]
-    size = int(offsets[-1] - offsets[0])
-    raw = np.frombuffer(data, np.uint8, size, int(offsets[0])) if size else np.zeros(0, np.uint8)
-    offsets -= offsets[0]
-    space = SPACE[raw]
+    raw, offsets = _content(texts, "<i4")
+    space, mark = SPACE[raw], MARK[raw]
     begins = space.copy()
     begins[1:] &= ~space[:-1]
+    begins[1:] |= mark[1:] & ALNUM[raw[:-1]]
+    begins[2:] |= mark[2:] & LATIN[raw[1:-1]] & (raw[:-2] == 0xC3)
     begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     starts = np.flatnonzero(begins)
-    bounds = np.append(starts, size)
+    bounds = np.append(starts, len(raw))
     chunks = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
     return chunks, np.searchsorted(starts, offsets)
 

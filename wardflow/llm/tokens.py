@@ -50,7 +50,7 @@ class ChunkEncoder:
         self.odd = "|".join([ODD, *(re.escape(content) for content in special if content)])
         # Chunks met lately and their ids.
         self.memo, self.memo_ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
-        # Which ids end a word, or else (without a mark of word ends) which begin with its space.
+        # Which ids end a word, or else (without a mark of word ends) which begin with its space or line feed.
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         self.marks_ends = bool(suffix)
         self.mark = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)

@@ -1,9 +1,12 @@
 """Links, counts and components against all pairs."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wardflow import session
 from wardflow.llm import product_quantization as pq
 from wardflow.llm.common import local_stars
 from wardflow.llm.queries import QUERIES
@@ -98,3 +101,66 @@ def test_large_group_of_copies_and_near_copies(spark):
     rows = [(k, v.tolist()) for k, v in enumerate([*near, *far, *[centre] * 500])]
     got = pq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert in_order((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == in_order(brute(rows))
+
+
+def test_a_vector_is_kept_once_however_many_lists_it_is_near(spark, tmp_path, monkeypatch):
+    """Vectors without clusters are near most lists; copies of them for each would grow faster than the input."""
+    x = np.random.default_rng(3).normal(size=(12_000, 64)).astype(np.float32)
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    frame.write.parquet(f"{tmp_path}/in")
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"{tmp_path}/work")
+    got = pq.near_duplicates(spark.read.parquet(f"{tmp_path}/in")).agg(F.sum("n_links"), F.count("*")).first()
+    assert tuple(got) == (0, 12_000)
+    stored = sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(f"{tmp_path}/work") for f in names)
+    assert stored < 4 * x.nbytes
+
+
+@pytest.mark.parametrize("dimension", [1, 3, 40])
+def test_many_lists_on_many_shelves(spark, monkeypatch, dimension):
+    """Most lists are out of reach of each other, some are larger than a shelf."""
+    monkeypatch.setattr(pq, "LIST_ROWS", 8)
+    monkeypatch.setattr(pq, "SHELF_PARTS", 150 * 48)
+    monkeypatch.setattr(pq, "SHELF_LEAST", 1)
+    rng = np.random.default_rng(dimension)
+    base = rng.normal(size=(900, dimension)) @ rng.normal(size=(dimension, 48))
+    near = base[0] + 0.1 * rng.normal(size=(300, 48))
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([base, near]).astype(np.float32))]
+    rows = [(k, [float(p) for p in v]) for k, v in rows] + [(5000 + k, v[:47]) for k, v in rows[::3]]
+    got = pq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert in_order((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == in_order(brute(rows))
+
+
+def test_a_dense_group_around_the_limit(spark):
+    """Cosines of one group lie on both sides of the limit, and copies of its members count."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=32) + 0.33 * rng.normal(size=(1200, 32))
+    rows = [(k, v.tolist()) for k, v in enumerate([*x, *x[:50], *x[:20]])]
+    links = [r[1] for r in brute(rows)]
+    assert 0.1 < np.mean(links) / len(rows) < 0.9
+    got = pq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert in_order((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == in_order(brute(rows))
+
+
+@pytest.mark.parametrize("dimension", [2, 7, 64])
+def test_bounds_hold(dimension):
+    """What skips lists and rows is never more than the distance, and reduced products never less than the cosine."""
+    rng = np.random.default_rng(dimension)
+    x = pq._scaled(rng.normal(size=(400, dimension)) @ rng.normal(size=(dimension, 64)))
+    index = pq.Index.fit(x, 100, 0.2**0.5)
+    z = x @ index.axes
+    home, reduced = index.home(z), index.reduced(z)
+    apart = np.sqrt(((x[:, None].astype(float) - x) ** 2).sum(axis=2))
+    gaps = [g[cell].T for g, cell in zip(index.gaps(z, home), index.cells(home))]
+    assert (np.sqrt(sum((g + g.T) ** 2 for g in gaps)) <= apart + pq.ROUNDING).all()
+    assert (reduced @ reduced.T >= x @ x.T - 1e-5).all()
+    codes, error = index.encode(z, home)
+    i, j = (k.ravel() for k in np.indices(apart.shape))
+    assert (index.distances(z[i], home[j], codes[j]) <= apart.ravel() + error[j] + pq.ROUNDING).all()
+
+
+def test_lists_on_shelves():
+    layout, free = pq.Layout.of(np.array([3, 0, 4, 25, 2, 9]), 10, 5)
+    assert layout.first.tolist() == [5, 5, 5, 6, 9, 10]
+    assert layout.shelves.tolist() == [1, 1, 1, 3, 1, 1]
+    assert free == 11
+    assert set(layout.shelf(np.full(100, 3), np.arange(100))) == {6, 7, 8}

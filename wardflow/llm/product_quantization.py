@@ -248,9 +248,10 @@ class Links:
     def _within(self, start: int, end: int) -> None:
         for at in range(start, end, QUERY_BLOCK):
             rows = np.arange(at, min(end, at + QUERY_BLOCK))
+            here = self.a.reduced[rows]
             for low in range(at, end, TILE):
                 cols = np.arange(low, min(end, low + TILE))
-                self._tile(rows, cols, self.b.reduced[cols], rows[:, None] < cols if low <= rows[-1] else None)
+                self._tile(rows, cols, here, self.b.reduced[cols], rows[:, None] < cols if low <= rows[-1] else None)
 
     def _between(self, x: int, y: int) -> None:
         """Rows of list ``x`` with those of list ``y`` that are not too far from the boundary between both."""
@@ -271,27 +272,32 @@ class Links:
         there = b.reduced[cols]
         for at in range(0, len(rows), QUERY_BLOCK):
             most = int(np.searchsorted(right, limit - left[at], side="right"))
+            own = rows[at : at + QUERY_BLOCK]
+            here = a.reduced[own]
             for low in range(0, most, TILE):
                 part = slice(low, min(most, low + TILE))
-                self._tile(rows[at : at + QUERY_BLOCK], cols[part], there[part])
+                self._tile(own, cols[part], here, there[part])
 
-    def _tile(self, rows: np.ndarray, cols: np.ndarray, there: np.ndarray, wanted: np.ndarray | None = None) -> None:
-        """``there``: the reduced vectors of ``cols``."""
-        near = self.a.reduced[rows] @ there.T >= np.float32(self.cosine - self.slack)
+    def _tile(self, rows: np.ndarray, cols: np.ndarray, here: np.ndarray, there: np.ndarray, wanted: np.ndarray | None = None) -> None:
+        """``here`` and ``there``: the reduced vectors of ``rows`` and ``cols``."""
+        near = here @ there.T >= np.float32(self.cosine - self.slack)
         if wanted is not None:
             near &= wanted
         if not near.any():
             return
-        here = np.flatnonzero(near.any(axis=1))
-        near = near[here]
-        if np.count_nonzero(near) * 16 > len(rows) * len(cols):
-            dots = self.a.z[rows[here]] @ self.b.z[cols].T
+        some = np.flatnonzero(near.any(axis=1))
+        near = near[some]
+        rows, pairs = rows[some], len(rows) * len(cols)
+        if np.count_nonzero(near) * 16 > pairs:
+            dots = self.a.z[rows] @ self.b.z[cols].T
             sure = near & (dots > self.cosine + self.slack)
             near &= ~sure & (dots >= self.cosine - self.slack)
+            self.counts[rows] += sure @ self.b.copies[cols]
+            self.counts[cols + self.offset] += self.a.copies[rows] @ sure
             x, y = np.nonzero(sure)
-            self._add(rows[here[x]], cols[y])
+            self._join(np.concatenate([rows, cols + self.offset]), x, len(rows) + y)
         x, y = np.nonzero(near)
-        self.held.append((rows[here[x]], cols[y]))
+        self.held.append((rows[x], cols[y]))
         self.waiting += len(x)
         if self.waiting >= 1 << 16:
             self._settle()
@@ -316,7 +322,13 @@ class Links:
         np.add.at(self.counts, i, self.b.copies[cols])
         np.add.at(self.counts, j, self.a.copies[rows])
         nodes, where = np.unique(np.concatenate([i, j]), return_inverse=True)
-        self.stars.append((nodes, nodes[local_stars(len(nodes), where[: len(i)], where[len(i) :])]))
+        self._join(nodes, where[: len(i)], where[len(i) :])
+
+    def _join(self, nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+        """Keep a link from each of ``nodes`` to the first it reaches over the pairs of places ``(i, j)``."""
+        root = local_stars(len(nodes), i, j)
+        moved = root != np.arange(len(nodes))
+        self.stars.append((nodes[moved], nodes[root[moved]]))
 
     def rows(self) -> pa.RecordBatch:
         cls = self.a.cls if self.a is self.b else np.concatenate([self.a.cls, self.b.cls])
